@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from demandgrid.schema import ALL_CITIES, MISSING_CITY, MISSING_STATION
 
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_CANONICAL = r"^[1-9][0-9]{0,17}$"
 _INTEGER = r"^[+-]?[0-9]+$"
 # Doubles in this open interval cast to bigint without overflow.
 _BIGINT_LIMIT = 9.2e18
@@ -28,7 +29,8 @@ def station_key(col: Column | str) -> Column:
 
     The text must look like a decimal number before it is cast, because a Spark
     cast also accepts type suffixes such as ``101d``. Plain integers go straight
-    to bigint so that ids above 2**53 stay exact.
+    to bigint so that ids above 2**53 stay exact. An id that is canonical already, the
+    usual case, is recognised first and skips the rest.
     """
     raw = (F.col(col) if isinstance(col, str) else col).cast("string")
     text = F.regexp_replace(raw, r"(?U)^\s+|\s+$", "")
@@ -36,7 +38,9 @@ def station_key(col: Column | str) -> Column:
     in_range = F.abs(number) < F.lit(_BIGINT_LIMIT)
     whole = F.when(in_range & (number == F.floor(number)), number.try_cast("bigint"))
     exact = F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
-    return F.coalesce(exact.cast("string"), whole.cast("string"), text, F.lit(MISSING_STATION))
+    other = F.coalesce(exact.cast("string"), whole.cast("string"), text)
+    key = F.when(raw.rlike(_CANONICAL), raw).otherwise(other)
+    return F.coalesce(key, F.lit(MISSING_STATION))
 
 
 def city_key(df: DataFrame, city_col: str = "city") -> Column:

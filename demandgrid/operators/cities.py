@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandgrid.functions.keys import hour_start
 from demandgrid.operators.ordering import running_total
 from demandgrid.schema import MAJOR_CITY_MIN_RIDES
 
@@ -50,33 +49,35 @@ UNKNOWN_SCOPE = CityScope(None, None)
 
 
 def city_scope(
-    rides: DataFrame, min_rides: int = 1, max_names: int = MAX_NAMED_CITIES
+    cells: DataFrame, min_rides: int = 1, max_names: int = MAX_NAMED_CITIES
 ) -> CityScope:
-    """Read at most ``max_names + 1`` city rows: name, first and last hour."""
-    hours = rides.select("city", hour_start(rides).alias("h"))
+    """Cities with at least ``min_rides`` rides in the demand cells, and the hours they span.
+
+    Reads at most ``max_names + 1`` rows to the driver.
+    """
+    hours = F.timestamp_diff("HOUR", F.min("target_hour_start"), F.max("target_hour_start")) + 1
     rows = (
-        hours.where(F.col("city").isNotNull())
-        .groupBy(F.col("city").cast("string").alias("city"))
-        .agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"))
-        .where(F.col("n") >= min_rides)
-        .select("city", (F.timestamp_diff("HOUR", F.col("lo"), F.col("hi")) + 1).alias("hours"))
+        cells.groupBy("city_key")
+        .agg(F.sum("demand").alias("rides"), hours.alias("hours"))
+        .where(F.col("rides") >= min_rides)
         .limit(max_names + 1)
         .collect()
     )
     if len(rows) > max_names:
         return UNKNOWN_SCOPE
-    return CityScope(tuple(sorted(r.city for r in rows)), sum(r.hours or 0 for r in rows))
+    return CityScope(tuple(sorted(r.city_key for r in rows)), sum(r.hours for r in rows))
 
 
 def keep_major_cities(
-    rides: DataFrame, min_rides: int = MAJOR_CITY_MIN_RIDES, scope: CityScope | None = None
-) -> tuple[DataFrame, CityScope]:
-    """Rides of the major cities. Few names become a predicate that reaches the scan;
-    many are joined."""
-    scope = scope or city_scope(rides, min_rides)
-    if scope.names is None:
-        return rides.join(major_cities(rides, min_rides).select("city"), "city", "left_semi"), scope
-    return rides.where(F.col("city").isin(list(scope.names))), scope
+    df: DataFrame, cells: DataFrame, scope: CityScope, min_rides: int = MAJOR_CITY_MIN_RIDES
+) -> DataFrame:
+    """Rows of the major cities. Few names become a predicate that reaches the scan; many
+    are joined."""
+    if scope.names is not None:
+        return df.where(F.col("city_key").isin(list(scope.names)))
+    rides = cells.groupBy("city_key").agg(F.sum("demand").alias("_rides"))
+    major = rides.where(F.col("_rides") >= min_rides).select("city_key")
+    return df.join(major, "city_key", "left_semi")
 
 
 def city_encoding(df: DataFrame) -> DataFrame:

@@ -53,12 +53,12 @@ def kept_hours(start: Column, end: Column, keep_hours: list[int] | None) -> Colu
     return F.filter(hours, lambda h: F.hour(h).isin(keep_hours))
 
 
-def full_windows(keyed: DataFrame, stations: DataFrame) -> DataFrame:
+def full_windows(cells: DataFrame) -> DataFrame:
     """Every station is open from the first to the last observed hour of its city."""
     return (
-        stations.select(*STATION_KEY)
+        cells.select(*STATION_KEY)
         .distinct()
-        .join(city_bounds(keyed), "city_key")
+        .join(city_bounds(cells), "city_key")
         .select(
             *STATION_KEY,
             F.col("city_min_hour").alias("window_start"),
@@ -68,7 +68,6 @@ def full_windows(keyed: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 def active_windows(
-    keyed: DataFrame,
     cells: DataFrame,
     buffer_before: int = BUFFER_HOURS_BEFORE,
     buffer_after: int = BUFFER_HOURS_AFTER,
@@ -91,7 +90,7 @@ def active_windows(
     pad_before = F.floor(missing / 2)
     return (
         station_activity(cells)
-        .join(city_bounds(keyed), "city_key")
+        .join(city_bounds(cells), "city_key")
         .select(
             *STATION_KEY,
             F.greatest(plus_hours(start, -pad_before), F.col("city_min_hour")).alias(

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-BUCKETS = 256
+from demandgrid.session import shuffle_partitions
+
+MAX_BUCKETS = 1024
 
 
 def running_total(
-    df: DataFrame, order: list[str], weight: str, out: str, buckets: int = BUCKETS
+    df: DataFrame, order: list[str], weight: str, out: str, buckets: int | None = None
 ) -> DataFrame:
     """Add ``out``: the sum of ``weight`` over all rows before this one in ``order``.
 
@@ -20,26 +22,36 @@ def running_total(
     most ``buckets`` rows); the rows themselves are sorted per bucket. Hashing distinct
     keys balances the buckets whatever the key distribution.
     """
-    key = F.struct(*order, weight)
+    buckets = buckets or min(MAX_BUCKETS, 4 * shuffle_partitions(df.sparkSession))
+    # The cuts carry the weight only so that this branch reads the same columns as the
+    # others and shares their shuffle.
     cuts = (
         df.orderBy(F.xxhash64(*order), *order)
         .limit(buckets - 1)
-        .agg(F.sort_array(F.collect_list(key)).alias("cuts"))
+        .agg(
+            F.sort_array(
+                F.collect_list(F.struct(F.struct(*order).alias("key"), weight))
+            ).alias("cuts")
+        )
     )
-    bucket = F.size(F.filter("_cuts", lambda cut: cut <= key))
-    cut_rows = df.withColumn("_cuts", cuts.scalar()).withColumn("_bucket", bucket).drop("_cuts")
+    # Declared non-null: otherwise the join on the bucket adds a null test that travels
+    # down to the scan of `df` and searches the cuts for every raw row.
+    place = F.size(F.filter("_rt_cuts", lambda cut: cut["key"] <= F.struct(*order)))
+    bucket = F.coalesce(place, F.lit(0))
+    cut_rows = df.withColumn("_rt_cuts", cuts.scalar()).withColumn("_rt_bucket", bucket)
+    cut_rows = cut_rows.drop("_rt_cuts")
 
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    before = W.orderBy("_rt_bucket").rowsBetween(W.unboundedPreceding, -1)
     totals = (
-        cut_rows.groupBy("_bucket")
-        .agg(F.sum(weight).alias("_total"))
-        .select("_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+        cut_rows.groupBy("_rt_bucket")
+        .agg(F.sum(weight).alias("_rt_total"))
+        .select("_rt_bucket", F.coalesce(F.sum("_rt_total").over(before), F.lit(0)).alias("_rt_before"))
     )
-    inside = W.partitionBy("_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("_rt_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     return (
-        cut_rows.join(F.broadcast(totals), "_bucket")  # at most `buckets` rows
-        .withColumn(out, F.col("_before") + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-        .drop("_bucket", "_before")
+        cut_rows.join(F.broadcast(totals), "_rt_bucket")  # at most `buckets` rows
+        .withColumn(out, F.col("_rt_before") + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+        .drop("_rt_bucket", "_rt_before")
     )
 
 

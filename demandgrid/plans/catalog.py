@@ -31,6 +31,7 @@ from demandgrid.plans import features as P
 from demandgrid.plans import panel as PN
 from demandgrid.plans.oracle import oracle_queries
 from demandgrid.schema import FEATURE_CELL, FEATURE_COLUMNS, FEATURE_STATION
+from demandgrid.sources.staging import staged
 from demandgrid.sources.rideviews import dense_rides, sparse_rides, wide_rides
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,20 +89,17 @@ def station_activity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def grid_full(spark: SparkSession, d: str) -> DataFrame:
-    keyed = _wide(spark, d)
-    cells = D.demand_cells(keyed)
-    return G.zero_filled(cells, G.full_windows(keyed, cells))
+    cells = D.demand_cells(_wide(spark, d))
+    return G.zero_filled(cells, G.full_windows(cells))
 
 
 def grid_active_window(spark: SparkSession, d: str) -> DataFrame:
-    keyed = _sparse(spark, d)
-    return G.grid_rows(G.active_windows(keyed, D.demand_cells(keyed)))
+    return G.grid_rows(G.active_windows(D.demand_cells(_sparse(spark, d))))
 
 
 def grid_active_window_buffered(spark: SparkSession, d: str) -> DataFrame:
-    keyed = _sparse(spark, d)
-    cells = D.demand_cells(keyed)
-    return G.zero_filled(cells, G.active_windows(keyed, cells, 24, 24))
+    cells = D.demand_cells(_sparse(spark, d))
+    return G.zero_filled(cells, G.active_windows(cells, 24, 24))
 
 
 def grid_observed(spark: SparkSession, d: str) -> DataFrame:
@@ -109,14 +107,12 @@ def grid_observed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def panel_keep_hours(spark: SparkSession, d: str) -> DataFrame:
-    keyed = _sparse(spark, d)
-    cells = D.demand_cells(keyed)
-    return G.zero_filled(cells, G.active_windows(keyed, cells), PANEL.keep_hours)
+    cells = D.demand_cells(_sparse(spark, d))
+    return G.zero_filled(cells, G.active_windows(cells), PANEL.keep_hours)
 
 
 def panel_cap_hours(spark: SparkSession, d: str) -> DataFrame:
-    keyed = _sparse(spark, d)
-    windows = G.active_windows(keyed, D.demand_cells(keyed))
+    windows = G.active_windows(D.demand_cells(_sparse(spark, d)))
     rows = G.grid_rows(windows, PANEL.keep_hours)
     picked = S.pick_hours(G.covered_hours(windows, PANEL.keep_hours), CAPS, SEED)
     return S.keep_picked_hours(rows, picked, CAPS)
@@ -154,7 +150,7 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _plain_panel(tr: P.TrainingRides) -> DataFrame:
-    return P.feature_keys(G.zero_filled(tr.cells, G.full_windows(tr.cells, tr.cells)))
+    return P.feature_keys(G.zero_filled(tr.cells, G.full_windows(tr.cells)))
 
 
 def _features(spark: SparkSession, d: str, spec: P.FeatureSpec = SPEC) -> DataFrame:
@@ -205,7 +201,7 @@ def demand_history(spark: SparkSession, d: str) -> DataFrame:
 
 def lag_features(spark: SparkSession, d: str) -> DataFrame:
     tr = _training(spark, d)
-    targets = P.feature_keys(G.grid_rows(G.full_windows(tr.cells, tr.cells)))
+    targets = P.feature_keys(G.grid_rows(G.full_windows(tr.cells)))
     history = H.demand_history(P.feature_keys(tr.cells))
     return rounded(H.with_lags(targets, history))
 
@@ -234,9 +230,7 @@ def rush_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def cyclic_features(spark: SparkSession, d: str) -> DataFrame:
-    tr = _training(spark, d)
     panel = train_panel(spark, d).select(*FEATURE_CELL, "holiday")
-    del tr
     return rounded(with_cyclic_features(panel).drop("holiday"))
 
 
@@ -278,18 +272,20 @@ def train_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def evaluation(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Labels over the dense panel and four prediction sets."""
+    """Labels over the dense panel and four prediction sets, on one written table."""
     tr = _training(spark, d)
     cells = P.feature_keys(tr.cells)
-    windows = G.full_windows(tr.cells, tr.cells)
+    windows = G.full_windows(tr.cells)
     panel = H.with_dense_lags(P.feature_keys(G.zero_filled(tr.cells, windows)))
     counts = P.feature_keys(G.window_counts(windows))
-    rows = dense_ids(panel, counts, FEATURE_STATION, "hour_ts")
-    labels = rows.select(
-        "id", "city", "start_station_id", F.col("hour_ts").alias("target_hour_start"), "demand"
+    rows = dense_ids(panel, counts, FEATURE_STATION, "hour_ts").withColumn(
+        "hour", F.hour("hour_ts")
     )
-    known = rows.withColumn("hour", F.hour("hour_ts")).join(
-        tr.scope.small(ST.city_hour_stats(cells), 24), ["city", "hour"], "left"
+    known = rows.join(tr.scope.small(ST.city_hour_stats(cells), 24), ["city", "hour"], "left")
+    columns = ["id", *FEATURE_CELL, "demand", "lag_7d_demand", "city_hour_mean_demand"]
+    table = staged(known.select(*columns), "evaluation")
+    labels = table.select(
+        "id", "city", "start_station_id", F.col("hour_ts").alias("target_hour_start"), "demand"
     )
     mean = F.col("city_hour_mean_demand")
     made = F.array(
@@ -298,7 +294,7 @@ def evaluation(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
         F.struct(F.lit("lag7").alias("model"), F.col("lag_7d_demand").alias("prediction")),
         F.struct(F.lit("signed").alias("model"), (mean - 0.5).alias("prediction")),
     )
-    return labels, known.select("id", F.inline(made)).select("model", "id", "prediction")
+    return labels, table.select("id", F.inline(made)).select("model", "id", "prediction")
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
@@ -436,11 +432,9 @@ def predict_pandas(spark: SparkSession, d: str) -> DataFrame:
     return rule.predict(targets)
 
 
-def _numbered_features(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    train, art = P.make_features_from_rides(dense_rides(spark, d), HOUR_SPEC)
-    key = F.xxhash64("start_station_id", "hour_ts", "city")
-    del art
-    return train, train.withColumn("id", key)
+def _encoded_features(spark: SparkSession, d: str) -> DataFrame:
+    train = P.make_features_from_rides(dense_rides(spark, d), HOUR_SPEC)[0]
+    return staged(train, "training")
 
 
 def _glm(train: DataFrame):
@@ -452,27 +446,27 @@ def _gbt(train: DataFrame):
 
 
 def predict_glm(spark: SparkSession, d: str) -> DataFrame:
-    train, rows = _numbered_features(spark, d)
-    return R.predict(_glm(train), rows)
+    train = _encoded_features(spark, d)
+    return R.predict(_glm(train), train, tuple(FEATURE_CELL))
 
 
 def predict_gbt(spark: SparkSession, d: str) -> DataFrame:
-    train, rows = _numbered_features(spark, d)
-    return R.predict(_gbt(train), rows)
+    train = _encoded_features(spark, d)
+    return R.predict(_gbt(train), train, tuple(FEATURE_CELL))
 
 
 def model_validation(spark: SparkSession, d: str) -> DataFrame:
-    train, _ = _numbered_features(spark, d)
+    train = _encoded_features(spark, d)
     return R.validation_errors(_glm(train), train)
 
 
 def loss_curve(spark: SparkSession, d: str) -> DataFrame:
-    train, _ = _numbered_features(spark, d)
+    train = _encoded_features(spark, d)
     return R.loss_curve(_gbt(train), train)
 
 
 def feature_importance(spark: SparkSession, d: str) -> DataFrame:
-    train, _ = _numbered_features(spark, d)
+    train = _encoded_features(spark, d)
     return R.feature_importance(_gbt(train), spark)
 
 

@@ -17,10 +17,12 @@ from demandgrid.operators.cities import (
     UNKNOWN_SCOPE,
     CityScope,
     city_encoding,
+    city_scope,
     encode_city,
     keep_major_cities,
 )
 from demandgrid.operators.dims import first_non_null, first_row_per_city_hour
+from demandgrid.sources.staging import staged
 from demandgrid.schema import (
     CELL_KEY,
     FEATURE_CELL,
@@ -103,9 +105,19 @@ def feature_keys(df: DataFrame) -> DataFrame:
 
 
 def training_rides(rides: DataFrame, spec: FeatureSpec) -> TrainingRides:
-    major, scope = keep_major_cities(rides, spec.min_rides)
-    keyed = D.keyed_rides(major)
-    return TrainingRides(keyed, D.demand_cells(keyed), scope)
+    """Key the rides and write their demand cells: the one pass over all rides.
+
+    Statistics, history, grid and the list of major cities are derived from the cells. A
+    ride without a city belongs to no major city.
+    """
+    keyed = D.keyed_rides(rides.where(F.col("city").isNotNull()))
+    cells = staged(D.demand_cells(keyed), "cells")
+    scope = city_scope(cells, spec.min_rides)
+    return TrainingRides(
+        keep_major_cities(keyed, cells, scope, spec.min_rides),
+        keep_major_cities(cells, cells, scope, spec.min_rides),
+        scope,
+    )
 
 
 def _cell_attributes(tr: TrainingRides, columns: list[str], spec: FeatureSpec) -> DataFrame:
@@ -116,7 +128,7 @@ def _cell_attributes(tr: TrainingRides, columns: list[str], spec: FeatureSpec) -
 
 def training_panel(tr: TrainingRides, spec: FeatureSpec) -> DataFrame:
     """Every station and hour of each major city's period: demand, calendar, attributes."""
-    windows = G.full_windows(tr.cells, tr.cells)
+    windows = G.full_windows(tr.cells)
     panel = feature_keys(G.zero_filled(tr.cells, windows))
     return with_panel_attributes(panel, tr, spec)
 
@@ -230,7 +242,7 @@ def training_features(tr: TrainingRides, art: Artifacts, spec: FeatureSpec) -> D
     Lags and same-hour statistics come from the panel itself: it holds every hour of its
     own history, so neither needs a join.
     """
-    windows = G.full_windows(tr.cells, tr.cells)
+    windows = G.full_windows(tr.cells)
     panel = H.with_dense_lags(feature_keys(G.zero_filled(tr.cells, windows)))
     if spec.station_hour_key == "hour_ts":
         panel = panel.withColumns(own_hour_stats(F.col("demand")))

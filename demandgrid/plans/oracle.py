@@ -687,7 +687,7 @@ FROM b WHERE bucket IS NOT NULL GROUP BY 1"""
 a AS (
   SELECT quantile_cont(CAST(demand AS DOUBLE), [{probs}]) AS t,
          quantile_cont(prediction_clipped, [{probs}]) AS p FROM d)
-SELECT round(unnest(qs), 9) AS q, round(unnest(t), 6) AS true_quantile,
+SELECT round(CAST(unnest(qs) AS DOUBLE), 9) AS q, round(unnest(t), 6) AS true_quantile,
   round(unnest(p), 6) AS pred_quantile FROM a, probs"""
     q["zero_segments"] = f"""{diag} SELECT
   {_r("avg(CAST(demand = 0 AS INT))", "zero_share_true")},
@@ -738,5 +738,7 @@ SELECT city_key, count(*) AS rides, count(DISTINCT station_key) AS stations,
 FROM keyed GROUP BY 1"""
 
     # Predictors
-    q["predict_constant"] = f"{train} SELECT row_number() OVER (ORDER BY city, start_station_id, hour_ts) - 1 AS id, 100.0::DOUBLE AS prediction FROM tpanel"
+    q["predict_constant"] = f"{scoring} SELECT id, 100.0::DOUBLE AS prediction FROM labels"
+    q["predict_pandas"] = f"""{scoring}
+SELECT id, CASE WHEN hour BETWEEN 7 AND 19 THEN 1.0 ELSE 0.25 END::DOUBLE AS prediction FROM labels"""
     return q

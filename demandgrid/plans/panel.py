@@ -16,6 +16,7 @@ from demandgrid.operators import sampling as S
 from demandgrid.operators.contracts import assert_unique
 from demandgrid.operators.dims import city_hour_dim, first_non_null, station_dim
 from demandgrid.operators.ordering import dense_ids
+from demandgrid.sources.staging import staged
 from demandgrid.schema import (
     ALL_CITIES,
     BUFFER_HOURS_AFTER,
@@ -72,11 +73,11 @@ class PanelSpec:
         )
 
 
-def _windows(keyed: DataFrame, cells: DataFrame, spec: PanelSpec) -> DataFrame:
+def _windows(cells: DataFrame, spec: PanelSpec) -> DataFrame:
     if spec.mode == "full":
-        return G.full_windows(keyed, cells)
+        return G.full_windows(cells)
     return G.active_windows(
-        keyed, cells, spec.buffer_before, spec.buffer_after, spec.min_window_hours
+        cells, spec.buffer_before, spec.buffer_after, spec.min_window_hours
     )
 
 
@@ -101,8 +102,11 @@ def _split(df: DataFrame, caps: Mapping[str, int]) -> tuple[DataFrame, DataFrame
 
 
 def panel_rows(keyed: DataFrame, spec: PanelSpec) -> DataFrame:
-    """The evaluated station-hours with demand and dense id, before attributes."""
-    cells = D.demand_cells(keyed)
+    """The evaluated station-hours with demand and dense id, before attributes.
+
+    The demand cells are written once; windows, capped hours, ids and rows start there.
+    """
+    cells = staged(D.demand_cells(keyed), "cells")
     hours = G.checked_hours(spec.keep_hours)
     caps = S.checked_caps(dict(spec.caps)) if spec.caps else None
     if spec.mode == "observed_only":
@@ -111,7 +115,7 @@ def panel_rows(keyed: DataFrame, spec: PanelSpec) -> DataFrame:
             rows = S.cap_eval_hours_per_city(rows, caps, spec.seed)
         counts = rows.groupBy(*STATION_KEY).agg(F.count("*").alias("n_rows"))
     else:
-        windows = _windows(keyed, cells, spec)
+        windows = _windows(cells, spec)
         rows = G.zero_filled(cells, windows, hours)
         counts = G.window_counts(windows, hours)
         if caps:
