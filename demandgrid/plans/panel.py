@@ -104,7 +104,8 @@ def _split(df: DataFrame, caps: Mapping[str, int]) -> tuple[DataFrame, DataFrame
 def panel_rows(keyed: DataFrame, spec: PanelSpec) -> DataFrame:
     """The evaluated station-hours with demand and dense id, before attributes.
 
-    The demand cells are written once; windows, capped hours, ids and rows start there.
+    The demand cells are written once, and so are the station windows and the picked
+    hours: rows, counts and ids start from these tables instead of repeating them.
     """
     cells = staged(D.demand_cells(keyed), "cells")
     hours = G.checked_hours(spec.keep_hours)
@@ -115,12 +116,13 @@ def panel_rows(keyed: DataFrame, spec: PanelSpec) -> DataFrame:
             rows = S.cap_eval_hours_per_city(rows, caps, spec.seed)
         counts = rows.groupBy(*STATION_KEY).agg(F.count("*").alias("n_rows"))
     else:
-        windows = _windows(cells, spec)
+        windows = staged(_windows(cells, spec), "windows")
         rows = G.zero_filled(cells, windows, hours)
         counts = G.window_counts(windows, hours)
         if caps:
             open_windows = windows.where(F.col("city_key").isin(list(caps)))
             picked = S.pick_hours(G.covered_hours(open_windows, hours), caps, spec.seed)
+            picked = staged(picked, "picked-hours")
             rows = S.keep_picked_hours(rows, picked, caps)
             counts = _capped_counts(windows, picked, spec)
     return dense_ids(rows, counts, STATION_KEY, "target_hour_start")
