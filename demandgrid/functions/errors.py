@@ -39,10 +39,11 @@ def metric_parts(df: DataFrame, by: list[str]) -> DataFrame:
 
 def add_parts(parts: DataFrame, by: list[str]) -> DataFrame:
     """Combine metric sums into coarser groups."""
-    return parts.groupBy(*by).agg(*[F.sum(name).alias(name) for name in PARTS])
+    added = parts.groupBy(*by).agg(*[F.sum(name).alias(name) for name in PARTS])
+    return added.na.fill(0, ["n_rows", "n_negative"])
 
 
 def part_mean(name: str) -> Column:
-    return F.col(name) / F.col("n_rows")
+    return F.try_divide(F.col(name), F.col("n_rows"))
 
 

@@ -265,17 +265,18 @@ def prediction_summary(scored: DataFrame) -> DataFrame:
         *[c.alias(k) for k, c in sums.items()]
     )
     combine = {"min_prediction": F.min, "max_prediction": F.max}
-    total = cities.agg(*[combine.get(k, F.sum)(k).alias(k) for k in sums])
+    total = cities.agg(*[combine.get(k, F.sum)(k).alias(k) for k in sums]).na.fill(0, ["n"])
     both = cities.unionByName(total.withColumn("city", F.lit(OVERALL)))
+    mean = F.try_divide
     return both.select(
         "city",
         "n",
         "min_prediction",
         "max_prediction",
-        (F.col("_p") / F.col("n")).alias("mean_prediction"),
-        (F.col("_t") / F.col("n")).alias("mean_true"),
-        (F.col("_e") / F.col("n")).alias("mae"),
-        (F.col("_z") / F.col("n")).alias("zero_share"),
+        mean(F.col("_p"), F.col("n")).alias("mean_prediction"),
+        mean(F.col("_t"), F.col("n")).alias("mean_true"),
+        mean(F.col("_e"), F.col("n")).alias("mae"),
+        mean(F.col("_z"), F.col("n")).alias("zero_share"),
     )
 
 
@@ -353,7 +354,7 @@ def demand_profile(rows: DataFrame) -> DataFrame:
     counts = rows.groupBy("demand").agg(F.count("*").alias("n"))
     n = F.sum("n")
     return counts.agg(
-        n.alias("n_rows"),
+        F.coalesce(n, F.lit(0)).alias("n_rows"),
         (F.sum(F.col("demand") * F.col("n")) / n).alias("mean_demand"),
         F.expr("percentile(demand, 0.5, n)").alias("median_demand"),
         F.max("demand").alias("max_demand"),

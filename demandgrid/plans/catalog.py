@@ -261,7 +261,7 @@ def time_split_profile(spark: SparkSession, d: str) -> DataFrame:
         )
         for side in (False, True)
     ]
-    return rounded(reduce(DataFrame.unionByName, sides).where("n_rows IS NOT NULL"))
+    return rounded(reduce(DataFrame.unionByName, sides).where("n_rows > 0"))
 
 
 def train_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -442,7 +442,7 @@ def _glm(train: DataFrame):
 
 
 def _gbt(train: DataFrame):
-    return R.fit(train, R.GbtSettings(rounds=5, depth=4, step=0.3))
+    return R.fit(train, R.GbtSettings(rounds=5, depth=4, step=0.3, tolerance=0.0))
 
 
 def predict_glm(spark: SparkSession, d: str) -> DataFrame:
