@@ -36,13 +36,17 @@ class CityScope:
     names: tuple[str, ...] | None
     city_hours: int | None
 
-    def small(self, df: DataFrame, rows_per_city: int | None = None) -> DataFrame:
-        """Broadcast a city-level (or, without a factor, city-hour) table of proven size;
-        leave the choice to adaptive execution otherwise."""
+    def fits(self, rows_per_city: int | None = None) -> bool:
+        """Whether a city-level table (or, without a factor, a city-hour table) is proven
+        small enough to be sent to every task."""
         if self.names is None:
-            return df
+            return False
         rows = self.city_hours if rows_per_city is None else rows_per_city * len(self.names)
-        return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+        return rows <= BROADCAST_ROWS
+
+    def small(self, df: DataFrame, rows_per_city: int | None = None) -> DataFrame:
+        """Broadcast a table that fits; leave the choice to adaptive execution otherwise."""
+        return F.broadcast(df) if self.fits(rows_per_city) else df
 
 
 UNKNOWN_SCOPE = CityScope(None, None)

@@ -75,6 +75,18 @@ def city_hour_dim(keyed: DataFrame, order_col: str | None = "event_id") -> DataF
     return first_non_null(keyed, ["city_key", "target_hour_start"], columns, order_col)
 
 
+def hour_then_order(df: DataFrame, hour_col: str, order_col: str) -> Column | None:
+    """One sortable number for "by hour, then by row order"; None unless the order column
+    is an integer. Unlike a pair it keeps min_by in a hash aggregate."""
+    if not isinstance(df.schema[order_col].dataType, T.IntegralType):
+        return None
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    hours = F.timestamp_diff("HOUR", epoch, F.col(hour_col)).cast("decimal(16,0)")
+    # An integer order value has at most 19 digits.
+    scale = F.lit("1" + "0" * 20).cast("decimal(21,0)")
+    return hours * scale + F.col(order_col).cast("decimal(20,0)")
+
+
 def first_row_per_city_hour(cells: DataFrame, columns: list[str]) -> DataFrame:
     """City-hour values taken from one row, that of the smallest station id, nulls kept.
 

@@ -21,7 +21,11 @@ from demandgrid.operators.cities import (
     encode_city,
     keep_major_cities,
 )
-from demandgrid.operators.dims import first_non_null, first_row_per_city_hour
+from demandgrid.operators.dims import (
+    first_non_null,
+    first_row_per_city_hour,
+    hour_then_order,
+)
 from demandgrid.sources.staging import staged
 from demandgrid.schema import (
     CELL_KEY,
@@ -30,6 +34,7 @@ from demandgrid.schema import (
     FEATURE_STATION,
     MAJOR_CITY_MIN_RIDES,
     STATION_COLUMNS,
+    STATION_KEY,
     WEATHER_COLUMNS,
     present,
 )
@@ -120,10 +125,46 @@ def training_rides(rides: DataFrame, spec: FeatureSpec) -> TrainingRides:
     )
 
 
-def _cell_attributes(tr: TrainingRides, columns: list[str], spec: FeatureSpec) -> DataFrame:
-    """First non-null attributes of every observed cell."""
-    own = tr.keyed.select(*CELL_KEY, *columns, *present([spec.order_col or ""], tr.keyed.columns))
-    return feature_keys(first_non_null(own, CELL_KEY, columns, spec.order_col))
+def _own(tr: TrainingRides, columns: list[str], spec: FeatureSpec) -> tuple[DataFrame, str]:
+    """Keyed rides with the named attributes and an order column."""
+    order = spec.order_col or "_row_order"
+    keyed = tr.keyed
+    if order not in keyed.columns:
+        order = "_row_order"
+        keyed = keyed.withColumn(order, F.monotonically_increasing_id())
+    return keyed.select(*CELL_KEY, *columns, order), order
+
+
+def station_attributes(tr: TrainingRides, columns: list[str], spec: FeatureSpec) -> DataFrame:
+    """First non-null value per station, by hour and then by row order.
+
+    Rides are reduced to stations before the shuffle. An order column that is not an
+    integer cannot be combined with the hour; the rides are reduced to cells first then.
+    """
+    own, order = _own(tr, columns, spec)
+    combined = hour_then_order(own, "target_hour_start", order)
+    if combined is None:
+        cells = first_non_null(own, CELL_KEY, columns, order)
+        return feature_keys(first_non_null(cells, STATION_KEY, columns, "target_hour_start"))
+    ordered = own.withColumn("_order", combined)
+    return feature_keys(first_non_null(ordered, STATION_KEY, columns, "_order"))
+
+
+def city_hour_attributes(tr: TrainingRides, columns: list[str], spec: FeatureSpec) -> DataFrame:
+    """Values of one cell per city and hour, that of the smallest station id; within the
+    cell the first non-null value in row order.
+
+    When the city-hours are few enough to send to every task, only the rides of those
+    cells are kept and nothing else is shuffled. Otherwise all rides are reduced to cells.
+    """
+    own, order = _own(tr, columns, spec)
+    city_hour = ["city_key", "target_hour_start"]
+    firsts = tr.cells.groupBy(*city_hour).agg(F.min("station_key").alias("station_key"))
+    if tr.scope.fits():
+        few = own.join(F.broadcast(firsts), CELL_KEY, "left_semi")
+        return feature_keys(first_non_null(few, city_hour, columns, order))
+    cells = feature_keys(first_non_null(own, CELL_KEY, columns, order))
+    return first_row_per_city_hour(cells, columns)
 
 
 def training_panel(tr: TrainingRides, spec: FeatureSpec) -> DataFrame:
@@ -141,11 +182,10 @@ def with_panel_attributes(panel: DataFrame, tr: TrainingRides, spec: FeatureSpec
     out = panel.withColumns({"hour": F.hour(ts), "weekday": K.weekday(ts)})
     out = out.withColumn("weekend", K.is_weekend(F.col("weekday")))
     if meta_columns:
-        cells = _cell_attributes(tr, meta_columns, spec)
-        meta = first_non_null(cells, FEATURE_STATION, meta_columns, "hour_ts")
+        meta = station_attributes(tr, meta_columns, spec)
         out = out.join(meta, FEATURE_STATION, "left")
     if hour_columns:
-        hours = first_row_per_city_hour(_cell_attributes(tr, hour_columns, spec), hour_columns)
+        hours = city_hour_attributes(tr, hour_columns, spec)
         out = out.join(tr.scope.small(hours), ["city", "hour_ts"], "left")
     defaults = {"holiday": 0, "working_day": 1}
     return out.withColumns(

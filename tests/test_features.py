@@ -86,6 +86,27 @@ def test_weather_comes_from_the_smallest_station(training):
         assert (pd.isna(value) and pd.isna(got[key])) or got[key] == value
 
 
+def test_attribute_paths_agree(training):
+    from dataclasses import replace
+
+    from demandgrid.operators.cities import UNKNOWN_SCOPE
+
+    unbounded = replace(training, scope=UNKNOWN_SCOPE)
+    text_order = replace(training, keyed=training.keyed.withColumn("event_id", F.format_string("%08d", "event_id")))
+    columns = ["apparent_temperature", "holiday"]
+    pairs = [
+        (P.city_hour_attributes(training, columns, SPEC), P.city_hour_attributes(unbounded, columns, SPEC)),
+        (P.station_attributes(training, columns, SPEC), P.station_attributes(text_order, columns, SPEC)),
+    ]
+    for a, b in pairs:
+        b = b.select(*a.columns)
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and not a.isEmpty()
+    stations = training.keyed.toPandas().sort_values(["target_hour_start", "event_id"])
+    want = stations.groupby(["city", "station_key"]).apparent_temperature.first().to_dict()
+    got = P.station_attributes(training, columns, SPEC).toPandas()
+    assert got.set_index(["city", "start_station_id"]).apparent_temperature.to_dict() == want
+
+
 def test_statistics_match_the_panel(training):
     pdf = panel_of(training).toPandas()
     cells = P.feature_keys(training.cells)
