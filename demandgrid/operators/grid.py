@@ -131,6 +131,9 @@ def zero_filled(
     itself and the empty hours up to the next one; the first also emits the hours back to
     the start of the window. Only the observed cells are shuffled, never the grid, and the
     result is partitioned by station. Windows must contain all cells of their station.
+
+    The join is a left join so that only the windows can become its broadcast side: the
+    cells must keep their partitioning, which is what spreads the growing rows.
     """
     hours = checked_hours(keep_hours)
     n = shuffle_partitions(cells.sparkSession)
@@ -138,7 +141,7 @@ def zero_filled(
     here = F.col("target_hour_start")
     spans = (
         cells.repartition(n, *STATION_KEY)
-        .join(windows, STATION_KEY)
+        .join(windows, STATION_KEY, "left")
         .withColumns({"_prev": F.lag(here).over(station), "_next": F.lead(here).over(station)})
         .withColumns(
             {

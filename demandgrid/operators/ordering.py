@@ -65,7 +65,7 @@ def dense_ids(rows: DataFrame, counts: DataFrame, group: list[str], order: str)
     rank = F.row_number().over(W.partitionBy(*group).orderBy(order)).cast("bigint")
     return (
         rows.withColumn("_rank", rank)
-        .join(offsets, group)
+        .join(offsets, group, "left")  # the rows, often a grown grid, are never broadcast
         .withColumn("id", F.col("_offset") + F.col("_rank") - 1)
         .drop("_rank", "_offset")
     )
