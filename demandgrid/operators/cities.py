@@ -53,35 +53,34 @@ UNKNOWN_SCOPE = CityScope(None, None)
 
 
 def city_scope(
-    cells: DataFrame, min_rides: int = 1, max_names: int = MAX_NAMED_CITIES
+    cities: DataFrame, min_rides: int = 1, max_names: int = MAX_NAMED_CITIES
 ) -> CityScope:
-    """Cities with at least ``min_rides`` rides in the demand cells, and the hours they span.
+    """Cities of a city-span table with at least ``min_rides`` rides, and their hours.
 
     Reads at most ``max_names + 1`` rows to the driver.
     """
-    hours = F.timestamp_diff("HOUR", F.min("target_hour_start"), F.max("target_hour_start")) + 1
+    hours = F.timestamp_diff("HOUR", F.col("lo"), F.col("hi")) + 1
     rows = (
-        cells.groupBy("city_key")
-        .agg(F.sum("demand").alias("rides"), hours.alias("hours"))
-        .where(F.col("rides") >= min_rides)
+        cities.where(F.col("rides") >= min_rides)
+        .select("city", hours.alias("hours"))
         .limit(max_names + 1)
         .collect()
     )
     if len(rows) > max_names:
         return UNKNOWN_SCOPE
-    return CityScope(tuple(sorted(r.city_key for r in rows)), sum(r.hours for r in rows))
+    return CityScope(tuple(sorted(r.city for r in rows)), sum(r.hours for r in rows))
 
 
 def keep_major_cities(
-    df: DataFrame, cells: DataFrame, scope: CityScope, min_rides: int = MAJOR_CITY_MIN_RIDES
+    df: DataFrame, cities: DataFrame, scope: CityScope, min_rides: int = MAJOR_CITY_MIN_RIDES
 ) -> DataFrame:
     """Rows of the major cities. Few names become a predicate that reaches the scan; many
     are joined."""
+    key = "city_key" if "city_key" in df.columns else "city"
     if scope.names is not None:
-        return df.where(F.col("city_key").isin(list(scope.names)))
-    rides = cells.groupBy("city_key").agg(F.sum("demand").alias("_rides"))
-    major = rides.where(F.col("_rides") >= min_rides).select("city_key")
-    return df.join(major, "city_key", "left_semi")
+        return df.where(F.col(key).isin(list(scope.names)))
+    major = cities.where(F.col("rides") >= min_rides).select(F.col("city").alias(key))
+    return df.join(major, key, "left_semi")
 
 
 def city_encoding(df: DataFrame) -> DataFrame:

@@ -53,12 +53,13 @@ def kept_hours(start: Column, end: Column, keep_hours: list[int] | None) -> Colu
     return F.filter(hours, lambda h: F.hour(h).isin(keep_hours))
 
 
-def full_windows(cells: DataFrame) -> DataFrame:
+def full_windows(cells: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     """Every station is open from the first to the last observed hour of its city."""
+    bounds = city_bounds(cells) if bounds is None else bounds
     return (
         cells.select(*STATION_KEY)
         .distinct()
-        .join(city_bounds(cells), "city_key")
+        .join(bounds, "city_key")
         .select(
             *STATION_KEY,
             F.col("city_min_hour").alias("window_start"),

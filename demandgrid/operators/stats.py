@@ -87,67 +87,74 @@ def stations_of(cells: DataFrame) -> DataFrame:
     return cells.select(*FEATURE_STATION).distinct()
 
 
-def bounds_of(cells: DataFrame) -> DataFrame:
-    return cells.groupBy("city").agg(F.min("hour_ts").alias("lo"), F.max("hour_ts").alias("hi"))
+def city_spans(cells: DataFrame) -> DataFrame:
+    """Per city its rides, stations and first and last hour: all that the number of
+    station-hours of any group depends on. A job writes this small table once."""
+    stations = cells.groupBy(*FEATURE_STATION).agg(
+        F.sum("demand").alias("rides"), F.min("hour_ts").alias("lo"), F.max("hour_ts").alias("hi")
+    )
+    return stations.groupBy("city").agg(
+        F.sum("rides").alias("rides"),
+        F.count("*").alias("stations"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+    )
 
 
-def city_hours(bounds: DataFrame) -> DataFrame:
+def city_hours(cities: DataFrame) -> DataFrame:
     """Every hour of each city's period with its hour of day and weekday."""
     hours = kept_hours(F.col("lo"), F.col("hi"), None)
-    spread = bounds.repartition(shuffle_partitions(bounds.sparkSession), "city")
-    return spread.select("city", F.explode(hours).alias("hour_ts")).withColumns(
+    spread = cities.repartition(shuffle_partitions(cities.sparkSession), "city")
+    return spread.select("city", "stations", F.explode(hours).alias("hour_ts")).withColumns(
         {"hour": F.hour("hour_ts"), "weekday": F.weekday("hour_ts")}
     )
 
 
-def _spans(cells: DataFrame, bounds: DataFrame, by: list[str]) -> DataFrame:
+def _spans(cities: DataFrame, by: list[str]) -> DataFrame:
     """Station-hours per city and calendar value: stations times matching hours."""
-    stations = stations_of(cells).groupBy("city").agg(F.count("*").alias("_stations"))
-    hours = city_hours(bounds).groupBy("city", *by).agg(F.count("*").alias("_n"))
-    return hours.join(stations, "city").select(
-        "city", *by, (F.col("_n") * F.col("_stations")).alias("_hours")
-    )
+    return city_hours(cities).groupBy("city", *by).agg(F.sum("stations").alias("_hours"))
 
 
 def _calendar(cells: DataFrame) -> DataFrame:
     return cells.withColumns({"hour": F.hour("hour_ts"), "weekday": F.weekday("hour_ts")})
 
 
-def station_stats(cells: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
-    bounds = bounds if bounds is not None else bounds_of(cells)
-    length = F.timestamp_diff("HOUR", F.col("lo"), F.col("hi")) + 1
-    spans = stations_of(cells).join(bounds.select("city", length.alias("_hours")), "city")
+def _length() -> Column:
+    return F.timestamp_diff("HOUR", F.col("lo"), F.col("hi")) + 1
+
+
+def station_stats(cells: DataFrame, cities: DataFrame | None = None) -> DataFrame:
+    cities = city_spans(cells) if cities is None else cities
+    spans = stations_of(cells).join(cities.select("city", _length().alias("_hours")), "city")
     return _summary(spans, cells, FEATURE_STATION, "station").drop("station_std_demand")
 
 
-def city_hour_stats(cells: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
-    bounds = bounds if bounds is not None else bounds_of(cells)
-    spans = _spans(cells, bounds, ["hour"])
+def city_hour_stats(cells: DataFrame, cities: DataFrame | None = None) -> DataFrame:
+    cities = city_spans(cells) if cities is None else cities
+    spans = _spans(cities, ["hour"])
     out = _summary(spans, _calendar(cells), ["city", "hour"], "city_hour")
     return out.drop("city_hour_std_demand")
 
 
-def city_weekday_stats(cells: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
-    bounds = bounds if bounds is not None else bounds_of(cells)
-    return _means(_spans(cells, bounds, ["weekday"]), _calendar(cells), ["city", "weekday"])
-
-
-def city_mean_stats(cells: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
-    bounds = bounds if bounds is not None else bounds_of(cells)
-    return _means(_spans(cells, bounds, []), cells, ["city"])
+def city_weekday_stats(cells: DataFrame, cities: DataFrame | None = None) -> DataFrame:
+    cities = city_spans(cells) if cities is None else cities
+    sums = _calendar(cells).groupBy("city", "weekday").agg(F.sum("demand").alias("_sum"))
+    mean = F.coalesce(F.col("_sum"), F.lit(0)) / F.col("_hours")
+    joined = _spans(cities, ["weekday"]).join(sums, ["city", "weekday"], "left")
+    return joined.select("city", "weekday", mean.alias("city_weekday_mean_demand"))
 
 
-def _means(spans: DataFrame, cells: DataFrame, group: list[str]) -> DataFrame:
-    sums = cells.groupBy(*group).agg(F.sum("demand").alias("_sum"))
-    mean = F.coalesce(F.col("_sum"), F.lit(0)) / F.col("_hours")
-    name = "_".join(["city", *group[1:], "mean_demand"])
-    return spans.join(sums, group, "left").select(*group, mean.alias(name))
+def city_mean_stats(cells: DataFrame, cities: DataFrame | None = None) -> DataFrame:
+    """Every ride is in a cell, so the city's total is its ride count."""
+    cities = city_spans(cells) if cities is None else cities
+    mean = F.col("rides") / (F.col("stations") * _length())
+    return cities.select("city", mean.alias("city_mean_demand"))
 
 
-def station_hour_of_day_stats(cells: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
+def station_hour_of_day_stats(cells: DataFrame, cities: DataFrame | None = None) -> DataFrame:
     """Statistics per station and hour of day: the key that carries over to new dates."""
-    bounds = bounds if bounds is not None else bounds_of(cells)
-    hours = city_hours(bounds).groupBy("city", "hour").agg(F.count("*").alias("_hours"))
+    cities = city_spans(cells) if cities is None else cities
+    hours = city_hours(cities).groupBy("city", "hour").agg(F.count("*").alias("_hours"))
     spans = stations_of(cells).join(hours, "city")
     group = [*FEATURE_STATION, "hour"]
     return _summary(spans, _calendar(cells), group, "station_hour")

@@ -149,10 +149,6 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
     return P.feature_keys(_training(spark, d).cells)
 
 
-def _plain_panel(tr: P.TrainingRides) -> DataFrame:
-    return P.feature_keys(G.zero_filled(tr.cells, G.full_windows(tr.cells)))
-
-
 def _features(spark: SparkSession, d: str, spec: P.FeatureSpec = SPEC) -> DataFrame:
     tr = _training(spark, d, spec)
     return P.training_features(tr, P.build_artifacts(tr, spec), spec)
@@ -166,28 +162,33 @@ def train_panel(spark: SparkSession, d: str) -> DataFrame:
     return P.training_panel(_training(spark, d), SPEC)
 
 
+def _stats(spark: SparkSession, d: str, function: Callable[..., DataFrame]) -> DataFrame:
+    tr = _training(spark, d)
+    return rounded(function(P.feature_keys(tr.cells), tr.cities))
+
+
 def stats_station(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(ST.station_stats(_cells(spark, d)))
+    return _stats(spark, d, ST.station_stats)
 
 
 def stats_city_hour(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(ST.city_hour_stats(_cells(spark, d)))
+    return _stats(spark, d, ST.city_hour_stats)
 
 
 def stats_city_weekday(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(ST.city_weekday_stats(_cells(spark, d)))
+    return _stats(spark, d, ST.city_weekday_stats)
 
 
 def stats_city(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(ST.city_mean_stats(_cells(spark, d)))
+    return _stats(spark, d, ST.city_mean_stats)
 
 
 def stats_station_ts(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(ST.station_timestamp_stats(_plain_panel(_training(spark, d))))
+    return rounded(ST.station_timestamp_stats(P.training_grid(_training(spark, d))))
 
 
 def stats_station_hod(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(ST.station_hour_of_day_stats(_cells(spark, d)))
+    return _stats(spark, d, ST.station_hour_of_day_stats)
 
 
 def stats_held_out(spark: SparkSession, d: str) -> DataFrame:
@@ -207,7 +208,7 @@ def lag_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lag_features_dense(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(H.with_dense_lags(_plain_panel(_training(spark, d))))
+    return rounded(H.with_dense_lags(P.training_grid(_training(spark, d))))
 
 
 def stat_features(spark: SparkSession, d: str) -> DataFrame:
@@ -223,7 +224,7 @@ def weather_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rush_features(spark: SparkSession, d: str) -> DataFrame:
-    panel = _plain_panel(_training(spark, d)).withColumn("hour", F.hour("hour_ts"))
+    panel = P.training_grid(_training(spark, d)).withColumn("hour", F.hour("hour_ts"))
     made = with_rush_features(panel.withColumns(P.own_hour_stats(F.col("demand"))))
     columns = ["is_morning_rush", "is_evening_rush", "rush_x_station_hour_mean"]
     return rounded(made.select(*FEATURE_CELL, *columns))
@@ -235,7 +236,7 @@ def cyclic_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def city_codes(spark: SparkSession, d: str) -> DataFrame:
-    return city_encoding(_cells(spark, d))
+    return city_encoding(_training(spark, d).cities)
 
 
 def feature_matrix(spark: SparkSession, d: str) -> DataFrame:
@@ -254,7 +255,7 @@ def target_features(spark: SparkSession, d: str) -> DataFrame:
 
 def time_split_profile(spark: SparkSession, d: str) -> DataFrame:
     """Demand profile of the training and the validation part of the panel."""
-    panel = R.with_validation_flag(_plain_panel(_training(spark, d)))
+    panel = R.with_validation_flag(P.training_grid(_training(spark, d)))
     sides = [
         X.demand_profile(panel.where(F.col("validation") == side)).withColumn(
             "validation", F.lit(side)
@@ -265,7 +266,7 @@ def time_split_profile(spark: SparkSession, d: str) -> DataFrame:
 
 
 def train_profile(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(X.demand_profile(_plain_panel(_training(spark, d))))
+    return rounded(X.demand_profile(P.training_grid(_training(spark, d))))
 
 
 # --- scoring ---------------------------------------------------------------------------
@@ -276,12 +277,12 @@ def evaluation(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     tr = _training(spark, d)
     cells = P.feature_keys(tr.cells)
     windows = G.full_windows(tr.cells)
-    panel = H.with_dense_lags(P.feature_keys(G.zero_filled(tr.cells, windows)))
+    panel = H.with_dense_lags(P.training_grid(tr))
     counts = P.feature_keys(G.window_counts(windows))
     rows = dense_ids(panel, counts, FEATURE_STATION, "hour_ts").withColumn(
         "hour", F.hour("hour_ts")
     )
-    known = rows.join(tr.scope.small(ST.city_hour_stats(cells), 24), ["city", "hour"], "left")
+    known = rows.join(tr.scope.small(ST.city_hour_stats(cells, tr.cities), 24), ["city", "hour"], "left")
     columns = ["id", *FEATURE_CELL, "demand", "lag_7d_demand", "city_hour_mean_demand"]
     table = staged(known.select(*columns), "evaluation")
     labels = table.select(

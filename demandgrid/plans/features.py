@@ -102,6 +102,7 @@ class TrainingRides:
 
     keyed: DataFrame
     cells: DataFrame
+    cities: DataFrame
     scope: CityScope
 
 
@@ -117,12 +118,20 @@ def training_rides(rides: DataFrame, spec: FeatureSpec) -> TrainingRides:
     """
     keyed = D.keyed_rides(rides.where(F.col("city").isNotNull()))
     cells = staged(D.demand_cells(keyed), "cells")
-    scope = city_scope(cells, spec.min_rides)
-    return TrainingRides(
-        keep_major_cities(keyed, cells, scope, spec.min_rides),
-        keep_major_cities(cells, cells, scope, spec.min_rides),
-        scope,
+    cities = staged(ST.city_spans(feature_keys(cells)), "cities")
+    scope = city_scope(cities, spec.min_rides)
+    kept = [keep_major_cities(df, cities, scope, spec.min_rides) for df in (keyed, cells, cities)]
+    return TrainingRides(*kept, scope)
+
+
+def training_grid(tr: TrainingRides) -> DataFrame:
+    """Zero-filled demand for every station and hour of its city's period."""
+    bounds = tr.cities.select(
+        F.col("city").alias("city_key"),
+        F.col("lo").alias("city_min_hour"),
+        F.col("hi").alias("city_max_hour"),
     )
+    return feature_keys(G.zero_filled(tr.cells, G.full_windows(tr.cells, bounds)))
 
 
 def _own(tr: TrainingRides, columns: list[str], spec: FeatureSpec) -> tuple[DataFrame, str]:
@@ -169,9 +178,7 @@ def city_hour_attributes(tr: TrainingRides, columns: list[str], spec: FeatureSpe
 
 def training_panel(tr: TrainingRides, spec: FeatureSpec) -> DataFrame:
     """Every station and hour of each major city's period: demand, calendar, attributes."""
-    windows = G.full_windows(tr.cells)
-    panel = feature_keys(G.zero_filled(tr.cells, windows))
-    return with_panel_attributes(panel, tr, spec)
+    return with_panel_attributes(training_grid(tr), tr, spec)
 
 
 def with_panel_attributes(panel: DataFrame, tr: TrainingRides, spec: FeatureSpec) -> DataFrame:
@@ -199,25 +206,23 @@ def with_panel_attributes(panel: DataFrame, tr: TrainingRides, spec: FeatureSpec
 def build_artifacts(tr: TrainingRides, spec: FeatureSpec) -> Artifacts:
     """Statistics, history and city encoding, all derived from the demand cells."""
     cells = feature_keys(tr.cells)
-    bounds = ST.bounds_of(cells)
-    seen, seen_bounds = cells, bounds
+    seen, cities = cells, tr.cities
     if spec.stats_days_held_out:
-        last = F.max("hour_ts") - F.make_dt_interval(F.lit(spec.stats_days_held_out))
-        cutoff = cells.agg(last.alias("cutoff")).scalar()
+        last = F.max("hi") - F.make_dt_interval(F.lit(spec.stats_days_held_out))
+        cutoff = tr.cities.agg(last.alias("cutoff")).scalar()
         seen = cells.where(F.col("hour_ts") < cutoff)
-        seen_bounds = bounds.where(F.col("lo") < cutoff).withColumn(
-            "hi", F.least("hi", K.plus_hours(cutoff, -1))
-        )
+        ends = tr.cities.select("city", F.least("hi", K.plus_hours(cutoff, -1)).alias("hi"))
+        cities = ST.city_spans(seen).drop("hi").join(ends, "city")
     by_hour = None
     if spec.station_hour_key == "hour":
-        by_hour = ST.station_hour_of_day_stats(seen, seen_bounds)
+        by_hour = ST.station_hour_of_day_stats(seen, cities)
     return Artifacts(
-        station_stats=ST.station_stats(seen, seen_bounds),
-        city_hour_stats=ST.city_hour_stats(seen, seen_bounds),
-        city_weekday_stats=ST.city_weekday_stats(seen, seen_bounds),
-        city_mean_stats=ST.city_mean_stats(seen, seen_bounds),
+        station_stats=ST.station_stats(seen, cities),
+        city_hour_stats=ST.city_hour_stats(seen, cities),
+        city_weekday_stats=ST.city_weekday_stats(seen, cities),
+        city_mean_stats=ST.city_mean_stats(seen, cities),
         demand_history=H.demand_history(cells),
-        city_encoding=city_encoding(cells),
+        city_encoding=city_encoding(tr.cities),
         station_hour_stats=by_hour,
         scope=tr.scope,
     )
@@ -282,8 +287,7 @@ def training_features(tr: TrainingRides, art: Artifacts, spec: FeatureSpec) -> D
     Lags and same-hour statistics come from the panel itself: it holds every hour of its
     own history, so neither needs a join.
     """
-    windows = G.full_windows(tr.cells)
-    panel = H.with_dense_lags(feature_keys(G.zero_filled(tr.cells, windows)))
+    panel = H.with_dense_lags(training_grid(tr))
     if spec.station_hour_key == "hour_ts":
         panel = panel.withColumns(own_hour_stats(F.col("demand")))
     df = with_stats(with_panel_attributes(panel, tr, spec), art)

@@ -208,15 +208,16 @@ def test_held_out_days_stay_out_of_the_statistics(training):
 def test_major_cities_by_name_and_by_join(small_rides, training):
     counts = small_rides.toPandas().city.value_counts()
     assert training.scope.names == tuple(sorted(counts.index))
-    cells = P.training_rides(small_rides, P.FeatureSpec(min_rides=1)).cells
+    cells, cities = training.cells, training.cities
     top = int(counts.max())
-    scope = city_scope(cells, top)
+    scope = city_scope(cities, top)
     assert scope.names == (counts.idxmax(),)
-    many = city_scope(cells, 1, max_names=1)
+    many = city_scope(cities, 1, max_names=1)
     assert many.names is None and many.small(cells) is cells
-    joined = keep_major_cities(cells, cells, many, top)
-    named = keep_major_cities(cells, cells, scope, top)
+    joined = keep_major_cities(cells, cities, many, top)
+    named = keep_major_cities(cells, cities, scope, top)
     assert joined.exceptAll(named).isEmpty() and named.exceptAll(joined).isEmpty()
+    assert not named.isEmpty()
 
 
 def test_city_encoding_and_unseen(spark):
