@@ -169,9 +169,18 @@ def zero_filled(
 
 
 def window_counts(windows: DataFrame, keep_hours: Iterable[int] | None = None) -> DataFrame:
-    """Grid rows per station, from the windows alone."""
-    hours = kept_hours(F.col("window_start"), F.col("window_end"), checked_hours(keep_hours))
-    return windows.select(*STATION_KEY, F.size(hours).cast("bigint").alias("n_rows"))
+    """Grid rows per station, from the ends of its window: whole days hold every kept hour
+    once, the rest of a day those that follow its first hour closely enough."""
+    hours = checked_hours(keep_hours)
+    length = hours_between(F.col("window_start"), F.col("window_end")) + 1
+    if hours is None:
+        count = length
+    else:
+        kept = F.array(*[F.lit(h) for h in hours]).cast("array<int>")
+        rest = length % 24
+        partial = F.filter(kept, lambda h: F.pmod(h - F.hour("window_start"), F.lit(24)) < rest)
+        count = F.floor(length / 24) * len(hours) + F.size(partial)
+    return windows.select(*STATION_KEY, count.cast("bigint").alias("n_rows"))
 
 
 def covered_hours(windows: DataFrame, keep_hours: Iterable[int] | None = None) -> DataFrame:

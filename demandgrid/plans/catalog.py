@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.functions.errors import with_errors
 from demandgrid.functions.features import (
     with_cyclic_features,
     with_rush_features,

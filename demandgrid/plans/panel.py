@@ -13,6 +13,7 @@ from demandgrid.functions import keys as K
 from demandgrid.operators import demand as D
 from demandgrid.operators import grid as G
 from demandgrid.operators import sampling as S
+from demandgrid.operators.cities import CityScope, city_scope
 from demandgrid.operators.contracts import assert_unique
 from demandgrid.operators.dims import city_hour_dim, first_non_null, station_dim
 from demandgrid.operators.ordering import dense_ids
@@ -96,18 +97,28 @@ def _capped_counts(windows: DataFrame, picked: DataFrame, spec: PanelSpec) -> Da
     return capped.unionAll(G.window_counts(others, spec.keep_hours))
 
 
+def _scope(cells: DataFrame) -> CityScope:
+    """How many cities there are, and how many city-hours can exist at most."""
+    bounds = D.city_bounds(cells).select(
+        F.col("city_key").alias("city"),
+        F.lit(1).alias("rides"),
+        F.col("city_min_hour").alias("lo"),
+        F.col("city_max_hour").alias("hi"),
+    )
+    return city_scope(bounds)
+
+
 def _split(df: DataFrame, caps: Mapping[str, int]) -> tuple[DataFrame, DataFrame]:
     listed = F.col("city_key").isin(list(caps))
     return df.where(listed), df.where(~listed)
 
 
-def panel_rows(keyed: DataFrame, spec: PanelSpec) -> DataFrame:
+def panel_rows(cells: DataFrame, spec: PanelSpec) -> DataFrame:
     """The evaluated station-hours with demand and dense id, before attributes.
 
-    The demand cells are written once, and so are the station windows and the picked
-    hours: rows, counts and ids start from these tables instead of repeating them.
+    The station windows and the picked hours are written once: rows, counts and ids start
+    from these tables instead of repeating them.
     """
-    cells = staged(D.demand_cells(keyed), "cells")
     hours = G.checked_hours(spec.keep_hours)
     caps = S.checked_caps(dict(spec.caps)) if spec.caps else None
     if spec.mode == "observed_only":
@@ -131,13 +142,15 @@ def panel_rows(keyed: DataFrame, spec: PanelSpec) -> DataFrame:
 def station_hour_panel(rides: DataFrame, spec: PanelSpec | None = None) -> DataFrame:
     """All columns of targets and labels, plus the internal keys.
 
-    Rows are numbered while they are still narrow. The station table has the partitioning
-    of the rows, so attaching it moves only the table; the city-hour table is a plain join
-    that adaptive execution broadcasts when its measured size allows.
+    The demand cells are written once; grid, windows and ids start there. Rows are numbered
+    while they are still narrow. The station table has the partitioning of the rows, so
+    attaching it moves only the table. The city-hour table is broadcast when the counted
+    hours of all cities are few enough, and joined through a shuffle otherwise.
     """
     spec = spec or PanelSpec()
     keyed = spec.key(rides)
-    rows = panel_rows(keyed, spec)
+    cells = staged(D.demand_cells(keyed), "cells")
+    rows = panel_rows(cells, spec)
     stations = station_dim(keyed, spec.order_col, spec.station_col, spec.city_col)
     city_hours = city_hour_dim(keyed, spec.order_col)
     if spec.validate:
@@ -145,7 +158,7 @@ def station_hour_panel(rides: DataFrame, spec: PanelSpec | None = None) -> DataF
         assert_unique(city_hours, ["city_key", "target_hour_start"], "city-hour table")
         assert_unique(rows, CELL_KEY, "panel")
     joined = rows.join(stations, STATION_KEY, "left").join(
-        city_hours, ["city_key", "target_hour_start"], "left"
+        _scope(cells).small(city_hours), ["city_key", "target_hour_start"], "left"
     )
     return K.with_calendar(joined, "target_hour_start")
 

@@ -175,8 +175,7 @@ def test_panel_invariants(spark, small_rides, mode, caps):
     assert not {"demand", "city_key", "station_key"} & set(targets.columns)
     assert targets.columns[:4] == ["id", "target_hour_start", "city", "start_station_id"]
     assert targets.count() == len(pdf)
-    keyed = spec.key(small_rides)
-    rows_ = PN.panel_rows(keyed, spec)
+    rows_ = PN.panel_rows(D.demand_cells(spec.key(small_rides)), spec)
     ordered = rows_.toPandas().sort_values("id")
     assert ordered[CELL_KEY].apply(tuple, axis=1).is_monotonic_increasing
     assert not ordered.duplicated(CELL_KEY).any()
@@ -187,7 +186,7 @@ def test_modes_nest_and_full_counts_every_ride(spark, small_rides):
     keys = {}
     for mode in PN.GRID_MODES:
         one = dataclasses.replace(spec, grid_mode=mode)
-        pdf = PN.panel_rows(one.key(small_rides), one).toPandas()
+        pdf = PN.panel_rows(D.demand_cells(one.key(small_rides)), one).toPandas()
         keys[mode] = set(pdf[CELL_KEY].apply(tuple, axis=1))
         assert pdf.demand.sum() == small_rides.count()
     assert keys["observed_only"] <= keys["active_window"] <= keys["full"]
