@@ -442,7 +442,7 @@ def _glm(train: DataFrame):
 
 
 def _gbt(train: DataFrame):
-    return R.fit(train, R.GbtSettings(rounds=5, depth=4, step=0.3, tolerance=0.0))
+    return R.fit(train, R.GbtSettings(rounds=5, depth=4, step=0.1, early_stop=False))
 
 
 def predict_glm(spark: SparkSession, d: str) -> DataFrame:

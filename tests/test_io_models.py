@@ -86,7 +86,12 @@ def test_artifacts_round_trip(spark, small_rides, tmp_path):
 
 
 @pytest.mark.parametrize(
-    "settings", [R.GlmSettings(max_iter=3), R.GbtSettings(rounds=3, depth=3, step=0.3)]
+    "settings",
+    [
+        R.GlmSettings(max_iter=3),
+        R.GbtSettings(rounds=3, depth=3, step=0.3),
+        R.GbtSettings(rounds=3, depth=3, step=0.3, early_stop=False),
+    ],
 )
 def test_models(spark, small_rides, tmp_path, settings):
     train, art = P.make_features_from_rides(small_rides, SPEC)
@@ -108,6 +113,7 @@ def test_models(spark, small_rides, tmp_path, settings):
     if isinstance(settings, R.GbtSettings):
         curve = R.loss_curve(model, train).collect()
         assert [r.round for r in curve] == list(range(1, len(curve) + 1))
+        assert 1 <= len(curve) <= 3 and (settings.early_stop or len(curve) == 3)
         assert sum(r.best for r in curve) == 1
         weights = R.feature_importance(model, spark, None)
         assert weights.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
