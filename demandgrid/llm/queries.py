@@ -4,14 +4,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import quality, sharding
+from demandgrid.llm import bpe, decontaminate, linededup, quality, sharding, simhash
 from demandgrid.llm.common import table
 from demandgrid.sources.staging import staged
 
 SHARDS = 24
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+
+
+def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark passage, with the item and the best stretch."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, benchmark)
+
+
+def op2_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+def op3_recursive_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = bpe.read_ranks(public_tokenizers.path(RANK_FILE))
+    return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).drop("text")
+
+
+def op7_two_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that many share."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = linededup.without_repeated_lines(docs, min_chars=20, min_docs=3)
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +81,29 @@ def op9_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spaced_seeds": op1_spaced_seeds,
+    "op2_gray_index": op2_gray_index,
+    "op3_recursive_merges": op3_recursive_merges,
     "op6_virtual_slots": op6_virtual_slots,
+    "op7_two_filters": op7_two_filters,
     "op9_likelihood_ratio": op9_likelihood_ratio,
 }
-ORACLE: dict[str, str] = {}
+#: Line dedup in SQL. The white space of the contract, and A-Z.
+LINE_DEDUP = """
+WITH lines AS (
+  SELECT doc_id, place, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS place
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents))),
+shared AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3)
+SELECT l.doc_id, count(*) AS n_lines,
+       count(*) FILTER (WHERE s.keeper <> l.doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place)
+                       FILTER (WHERE s.keeper IS NULL OR s.keeper = l.doc_id), '')) AS kept_sha256
+FROM lines l LEFT JOIN shared s USING (key)
+GROUP BY l.doc_id
+"""
+ORACLE: dict[str, str] = {"op7_two_filters": LINE_DEDUP}
