@@ -23,7 +23,7 @@ RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the rules reject goes."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.judged(docs, model).filter("kept").select(*COLUMNS)
+    return quality.passed(docs, model).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
