@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import bpe, decontaminate, linededup, quality, sharding, simhash
+from demandgrid.llm import bpe, decontaminate, linededup, quality, sharding, simhash, tokenfiles
 from demandgrid.llm.common import table
+from demandgrid.session import ensure_checkpoint_dir
 from demandgrid.sources.staging import staged
 
 SHARDS = 24
+WORD_FILE = "word_bpe_49k.json"
+END_ID = 2
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -41,6 +46,15 @@ def op7_two_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op4_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written to token files and read back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    description = Path(public_tokenizers.path(WORD_FILE)).read_text(encoding="utf-8")
+    folder = f"{ensure_checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    files = tokenfiles.write_tokens(docs, folder, description, END_ID)
+    return tokenfiles.read_tokens(spark, folder, files)
+
+
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 24 shards of nearly equal bytes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -84,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_gray_index": op2_gray_index,
     "op3_recursive_merges": op3_recursive_merges,
+    "op4_addressable_codes": op4_addressable_codes,
     "op6_virtual_slots": op6_virtual_slots,
     "op7_two_filters": op7_two_filters,
     "op9_likelihood_ratio": op9_likelihood_ratio,
