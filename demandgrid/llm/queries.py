@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import bpe, decontaminate, linededup, quality, sharding, simhash, tokenfiles
+from demandgrid.llm import bpe, decontaminate, htmlmodel, licences, linededup, quality, secrets, sharding, simhash, tokenfiles
 from demandgrid.llm.common import table
 from demandgrid.session import ensure_checkpoint_dir
 from demandgrid.sources.staging import staged
@@ -39,6 +39,40 @@ def op3_recursive_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).drop("text")
 
 
+def _listed(spans: Column) -> Column:
+    """kind:start:end of every span, with commas between them."""
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+
+
+def op8_character_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.findings(docs, secrets.train(docs)).drop("text")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    # Spans in order of their start, then of their kind as listed.
+    rank = F.create_map(*[F.lit(x) for n, k in enumerate(secrets.KINDS) for x in (k, n)])
+    every = F.transform(
+        F.sort_array(
+            F.transform(
+                F.concat("base", "added"),
+                lambda s: F.struct(s["start"].alias("at"), rank[s["kind"]].alias("rank"), s.alias("s")),
+            )
+        ),
+        lambda x: x["s"],
+    )
+    return found.select(
+        "doc_id",
+        *map(count, secrets.KINDS[:3]),
+        F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
+        _listed(every).alias("spans"),
+    )
+
+
 def op7_two_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that many share."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,6 +89,12 @@ def op4_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfiles.read_tokens(spark, folder, files)
 
 
+def op5_tree_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmlmodel.extracted(pages, htmlmodel.fit(htmlmodel.labelled_pages()))
+
+
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 24 shards of nearly equal bytes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -94,14 +134,23 @@ def op9_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_paragraph_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph that may state a licence, with the family."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scanned(docs, licences.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_gray_index": op2_gray_index,
     "op3_recursive_merges": op3_recursive_merges,
     "op4_addressable_codes": op4_addressable_codes,
+    "op5_tree_model": op5_tree_model,
     "op6_virtual_slots": op6_virtual_slots,
     "op7_two_filters": op7_two_filters,
+    "op8_character_network": op8_character_network,
     "op9_likelihood_ratio": op9_likelihood_ratio,
+    "op10_paragraph_classifier": op10_paragraph_classifier,
 }
 #: Line dedup in SQL. The white space of the contract, and A-Z.
 LINE_DEDUP = """
