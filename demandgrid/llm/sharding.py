@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from demandgrid.llm.common import by_order
 
 SLOTS = 8192
+#: Share of the mean by which shards may differ before an edit moves slots.
+TOLERANCE = 0.02
 #: Bytes that each record takes besides its text.
 RECORD_OVERHEAD = 8
 MAP_SCHEMA = (
@@ -80,12 +82,14 @@ def new_map(loads: DataFrame, shards: int, slots: int = SLOTS, version: int = 1)
     return _as_table(loads.sparkSession, owner, load, version)
 
 
-def rebalanced(current: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
+def rebalanced(
+    current: DataFrame, loads: DataFrame, shards: int, tolerance: float = TOLERANCE
+) -> DataFrame:
     """The next version of a map for the loads and the number of shards as they are now.
 
-    Slots of shards that are gone, and then, one at a time, the largest slot that fits from
-    the fullest shard to the emptiest, as long as that lowers the fuller one's lead. All
-    other slots stay where they are.
+    Slots of shards that are gone, and then, one at a time, from the fullest shard to the
+    emptiest the largest slot that fits into what the fullest has over the mean, until they differ by no more than ``tolerance`` of the
+    mean or no slot fits. All other slots stay where they are.
     """
     rows = sorted(current.collect(), key=lambda r: r["virtual_slot"])
     load = _loads(loads, len(rows))
@@ -111,7 +115,10 @@ def rebalanced(current: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
         full = max(range(shards), key=lambda s: (total[s], -s))
         bare = min(range(shards), key=lambda s: (total[s], s))
         gap = total[full] - total[bare]
-        fits = [s for s in held[full] if 0 < load[s][0] <= gap // 2]
+        if gap <= tolerance * sum(total) / shards:
+            break
+        over = total[full] - sum(total) / shards
+        fits = [s for s in held[full] if 0 < load[s][0] <= min(gap // 2, over)]
         if not fits:
             break
         slot = max(fits, key=lambda s: (load[s][0], -s))
