@@ -70,7 +70,7 @@ def hour_start(
     for name in (hour_col, start_time_col):
         if name in df.columns:
             return floor_hour(as_ntz(name))
-    raise ValueError(f"Need either '{hour_col}' or '{start_time_col}' to define the target hour.")
+    raise ValueError(f"rides have no time column: neither {hour_col!r} nor {start_time_col!r}")
 
 
 def hours_between(start: Column, end: Column) -> Column:

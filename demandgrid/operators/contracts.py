@@ -11,14 +11,14 @@ from demandgrid.schema import FORBIDDEN_TARGET_COLUMNS
 
 REPORT_SCHEMA = "check string, model string, ok boolean, bad_rows bigint"
 RTOL, ATOL = 1e-5, 1e-8
+#: Failing rules that an error spells out; it counts the others.
+SHOWN = 20
 
 
-def require_columns(df: DataFrame, required: list[str], name: str) -> None:
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(
-            f"{name} is missing required columns: {missing}. Available columns: {df.columns}"
-        )
+def require_columns(df: DataFrame, names: list[str], table: str) -> None:
+    """An error that lists every column the table lacks."""
+    if absent := sorted(set(names) - set(df.columns)):
+        raise ValueError(f"{table}: no column {', '.join(absent)}")
 
 
 def leaking_columns(targets: DataFrame) -> list[str]:
@@ -43,18 +43,13 @@ def schema_checks(targets: DataFrame, labels: DataFrame) -> list[tuple[str, str
 
 
 def assert_targets_are_safe(targets: DataFrame) -> None:
-    """Schema rules for targets as one error; touches no data."""
-    bad = leaking_columns(targets)
-    if bad:
-        raise ValueError(f"Test targets contain leakage/raw-ride columns: {bad}.")
-    require_columns(targets, ["id"], "test targets")
-    failed = [name for name, _, ok, _ in schema_checks(targets, targets) if not ok]
-    if "station_identifier" in failed:
-        raise ValueError("Test targets must contain a station identifier.")
-    if "target_time" in failed:
-        raise ValueError(
-            "Test targets must contain target time: target_hour_start, hour_ts, or date+hour."
-        )
+    """The failing schema rules of targets as one error; touches no data."""
+    rows = schema_checks(targets, targets)
+    failed = [name for name, _, ok, _ in rows if not ok and name != "label_columns"]
+    if failed:
+        leaks = leaking_columns(targets)
+        told = f" (leaking: {', '.join(leaks)})" if leaks else ""
+        raise ValueError(f"targets break {', '.join(failed)}{told}")
 
 
 def id_counts(df: DataFrame, side: str) -> DataFrame:
@@ -80,7 +75,7 @@ def id_report(targets: DataFrame, labels: DataFrame) -> DataFrame:
     return _report(counts, counts.columns, F.lit(None).cast("string"))
 
 
-def finite_number(col: Column | str) -> Column:
+def as_number(col: Column | str) -> Column:
     """The value as double; text that is no number and NaN become null, infinities stay."""
     number = (F.col(col) if isinstance(col, str) else col).try_cast("double")
     return F.when(~F.isnan(number), number)
@@ -92,7 +87,7 @@ def prediction_counts(predictions: DataFrame) -> DataFrame:
     The counts run before the shuffle, so an id repeated in a third of the rows travels
     as one row per task.
     """
-    number = finite_number("prediction")
+    number = as_number("prediction")
     infinite = F.abs(number) == F.lit(float("inf"))
     return predictions.groupBy("model", "id").agg(
         F.count("*").alias("copies"),
@@ -161,8 +156,8 @@ def repeatability_report(first: DataFrame, second: DataFrame) -> DataFrame:
 
     The order of the rows plays no part, so this also covers shuffled input.
     """
-    a = first.select("model", "id", finite_number("prediction").alias("a"))
-    b = second.select("model", "id", finite_number("prediction").alias("b"))
+    a = first.select("model", "id", as_number("prediction").alias("a"))
+    b = second.select("model", "id", as_number("prediction").alias("b"))
     close = F.abs(F.col("a") - F.col("b")) <= F.lit(ATOL) + F.lit(RTOL) * F.abs(F.col("b"))
     same = F.coalesce(close | (F.col("a") == F.col("b")), F.lit(False))
     counts = (
@@ -186,9 +181,13 @@ def contract_report(
 
 def assert_ok(report: DataFrame) -> None:
     """Turn failing rows of a report into an error."""
-    failed = report.where(~F.col("ok")).limit(20).collect()
+    bad = report.where(~F.col("ok"))
+    failed = bad.limit(SHOWN + 1).collect()
     if failed:
-        raise ValueError("; ".join(f"{r['check']} ({r.model}): {r.bad_rows}" for r in failed))
+        told = [f"{r['check']} ({r.model}): {r.bad_rows}" for r in failed[:SHOWN]]
+        if len(failed) > SHOWN:
+            told.append(f"and {bad.count() - SHOWN} more")
+        raise ValueError("; ".join(told))
 
 
 def assert_unique(df: DataFrame, keys: list[str], name: str) -> None:
@@ -198,11 +197,6 @@ def assert_unique(df: DataFrame, keys: list[str], name: str) -> None:
         raise ValueError(f"{name} has more than one row for some {keys}")
 
 
-def assert_not_empty(df: DataFrame, name: str) -> None:
-    if df.isEmpty():
-        raise ValueError(f"{name} has no rows left")
-
-
 def _report(counts: DataFrame, checks: list[str], model: Column) -> DataFrame:
     entries = F.array(
         *[F.struct(F.lit(c).alias("check"), F.col(c).alias("bad_rows")) for c in checks]

@@ -24,13 +24,13 @@ def keyed_rides(
     keeps them with a null target_hour_start for the caller to split off.
     """
     if station_col not in rides.columns:
-        raise ValueError(f"Missing required station column: {station_col}")
+        raise ValueError(f"rides have no station column {station_col!r}")
     if on_bad not in ("raise", "drop", "quarantine"):
         raise ValueError(f"on_bad must be raise, drop or quarantine, got {on_bad!r}")
     hour = K.hour_start(rides, start_time_col, hour_col)
     if on_bad == "raise":
         # Checked inside the scan that needs the value, so it costs no extra pass.
-        failed = F.raise_error(F.lit("rides have invalid/missing timestamps"))
+        failed = F.raise_error(F.lit("a ride has no readable start time"))
         hour = F.coalesce(hour, failed.cast("timestamp_ntz"))
     keyed = rides.withColumns(
         {
@@ -56,7 +56,7 @@ def assert_timestamps(
     """Eager form of the timestamp rule; names how many rides break it."""
     row = count_bad_timestamps(rides, start_time_col, hour_col).first()
     if row.bad_rows:
-        raise ValueError(f"{row.bad_rows} rows have invalid/missing timestamps.")
+        raise ValueError(f"{row.bad_rows} rides have no readable start time")
 
 
 def demand_cells(keyed: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ def checked_hours(keep_hours: Iterable[int] | None) -> list[int] | None:
     hours = sorted({int(h) for h in keep_hours})
     invalid = [h for h in hours if not 0 <= h <= 23]
     if invalid:
-        raise ValueError(f"Invalid keep_hours values: {invalid}")
+        raise ValueError(f"not an hour of the day: {invalid}")
     return hours
 
 
@@ -80,11 +80,11 @@ def active_windows(
     clipped to the city's period, so a station near the edge may stay below the minimum.
     """
     if buffer_before < 0:
-        raise ValueError("buffer_before must be non-negative")
+        raise ValueError("buffer_before is below zero")
     if buffer_after < 0:
-        raise ValueError("buffer_after must be non-negative")
+        raise ValueError("buffer_after is below zero")
     if min_window_hours < 1:
-        raise ValueError("min_window_hours must be at least 1")
+        raise ValueError("min_window_hours is below one")
     start = plus_hours(F.col("first_active_hour"), -buffer_before)
     end = plus_hours(F.col("last_active_hour"), buffer_after)
     missing = F.greatest(F.lit(min_window_hours) - hours_between(start, end) - 1, F.lit(0))

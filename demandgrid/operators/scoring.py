@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from demandgrid.functions.errors import add_parts, metric_parts, part_mean, with_errors
-from demandgrid.operators.contracts import failing_models, finite_number
+from demandgrid.operators.contracts import as_number, failing_models
 from demandgrid.schema import MISSING_CITY, OVERALL
 
 METRICS = ["mae", "rmse", "mean_true_demand", "mean_prediction"]
@@ -32,7 +32,7 @@ def score_rows(labels: DataFrame, predictions: DataFrame) -> DataFrame:
     Rows meet on their id, never by position. Ids are unique on both sides once the
     contract holds, so no key of this join is hot.
     """
-    usable = predictions.select("model", "id", finite_number("prediction").alias("prediction"))
+    usable = predictions.select("model", "id", as_number("prediction").alias("prediction"))
     return with_errors(labels.join(usable, "id"))
 
 
@@ -82,15 +82,36 @@ def ordered_leaderboard(summary: DataFrame) -> DataFrame:
     )
 
 
+def missing_models(predictions: DataFrame, models: list[str]) -> DataFrame:
+    """Registered models that sent no row at all, with the reason."""
+    spark = predictions.sparkSession
+    names = spark.createDataFrame([(m,) for m in models], "model string")
+    seen = predictions.select("model").distinct()
+    return names.join(seen, "model", "left_anti").withColumn("error", F.lit("no_rows"))
+
+
 def leaderboard(
-    targets: DataFrame, labels: DataFrame, predictions: DataFrame
+    targets: DataFrame,
+    labels: DataFrame,
+    predictions: DataFrame,
+    models: list[str] | None = None,
+    require_one: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Leaderboard of the models that can be scored, and the ones that cannot with reason.
 
     One broken prediction set does not stop the others: failing models are removed from
-    the small per-city summary, so the rows of all models are scored in one pass.
+    the small per-city summary, so the rows of all models are scored in one pass. A model
+    that lacks a prediction for any target fails, so a scored one has all of its labels.
+    ``models`` are the registered names: those without a row are listed as failed.
+    ``require_one`` makes it an error, found before anything is scored, if no model is left.
     """
     failures = failing_models(targets, predictions)
+    if require_one:
+        good = predictions.select("model").distinct().join(failures, "model", "left_anti")
+        if good.isEmpty():
+            raise ValueError("no model can be scored: every prediction set breaks a rule")
     summary = score_by_city(score_rows(labels, predictions))
     passed = summary.join(failures.select("model"), "model", "left_anti")
+    if models:
+        failures = failures.unionByName(missing_models(predictions, models))
     return ordered_leaderboard(passed), failures

@@ -8,13 +8,13 @@ from demandgrid.schema import FEATURE_COLUMNS
 # --- rides -----------------------------------------------------------------------------
 
 
-def _rides(station: str, where: str = "") -> str:
+def _rides(station: str, source: str = "events") -> str:
     return f"""
 base AS (
   SELECT event_id, ts AS started_at, event_type AS city, {station} AS s,
          date_diff('hour', TIMESTAMP '1970-01-01 00:00:00', ts) AS eh,
          ascii(event_type) AS a, day(ts) AS dom, isodow(ts) - 1 AS wd
-  FROM events {where}),
+  FROM {source}),
 rides AS (
   SELECT event_id, started_at, city,
     CASE WHEN event_id % 97 = 0 THEN NULL
@@ -69,8 +69,13 @@ bounds AS (
   FROM keyed GROUP BY 1)"""
 
 _DENSE = _rides("user_id % 8") + "," + _KEYED + "," + _CELLS
-_SPARSE = _rides("user_id", "WHERE value > 60") + "," + _KEYED + "," + _CELLS
+_SPARSE = _rides("user_id * 10 + (day(ts) - 1) // 7") + "," + _KEYED + "," + _CELLS
 _WIDE = _rides("user_id") + "," + _KEYED + "," + _CELLS
+_MOD8 = _rides("user_id % 8")
+_BUSY = _rides(
+    "CASE WHEN user_id % 16 = 0 THEN 1 ELSE 0 END",
+    "(SELECT * REPLACE (ts - to_hours(CAST(hour(ts) % 8 AS INT)) AS ts) FROM events) gathered",
+)
 
 
 # --- grids -----------------------------------------------------------------------------
@@ -191,13 +196,13 @@ def panel_sql(select: str, caps: dict[str, int], seed: int) -> str:
 # --- training --------------------------------------------------------------------------
 
 
-def _training(min_rides: int) -> str:
+def _training(min_rides: int, rides: str = _MOD8) -> str:
     meta = ", ".join(
         f"arg_min({c}, hour_ts) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _STATION_ATTRS
     )
     hours = [*_WEATHER, "holiday", "working_day"]
     by_station = ", ".join(f"first({c} ORDER BY start_station_id) AS {c}" for c in hours)
-    return f"""{_rides("user_id % 8")},{_KEYED},
+    return f"""{rides},{_KEYED},
 major AS (SELECT city FROM keyed GROUP BY city HAVING count(*) >= {min_rides}),
 trides AS (
   SELECT * EXCLUDE (start_station_id, city_key, station_key, target_hour_start),
@@ -362,9 +367,9 @@ def _matrix_columns() -> str:
 # --- scoring ---------------------------------------------------------------------------
 
 
-def _scoring(min_rides: int) -> str:
-    """Labels and four prediction sets over the full dense panel."""
-    return f"""WITH {_training(min_rides)},{_stats()},{_lags("tpanel")},
+def _scoring() -> str:
+    """Labels and four prediction sets over the full panel of all cities."""
+    return f"""WITH {_training(1, _BUSY)},{_stats()},{_lags("tpanel")},
 labels AS (
   SELECT row_number() OVER (ORDER BY city, start_station_id, hour_ts) - 1 AS id,
     city, start_station_id, hour_ts AS target_hour_start, hour, weekday, demand, l7
@@ -377,7 +382,9 @@ predictions AS (
   UNION ALL
   SELECT 'lag7', id, CAST(coalesce(l7, 0) AS DOUBLE) FROM labels
   UNION ALL
-  SELECT 'signed', id, city_hour_mean_demand - 0.5 FROM labels
+  SELECT 'signed', id, CAST(0.5 AS DOUBLE) * city_hour_mean_demand
+    + CAST(0.6 AS DOUBLE) * CAST(coalesce(l7, 0) AS DOUBLE)
+    + CAST(id % 5 AS DOUBLE) - CAST(2.25 AS DOUBLE) FROM labels
     JOIN st_city_hour USING (city, hour)),
 clipped AS (
   SELECT p.model, l.*, p.prediction,
@@ -390,8 +397,8 @@ scored AS (
   FROM clipped)"""
 
 
-def _diag(min_rides: int, model: str = "signed") -> str:
-    return _scoring(min_rides) + f",\nd AS (SELECT * FROM scored WHERE model = '{model}')"
+def _diag(model: str = "signed") -> str:
+    return _scoring() + f",\nd AS (SELECT * FROM scored WHERE model = '{model}')"
 
 
 _BUCKETS = """CASE WHEN demand <= 0 THEN 0 WHEN demand <= 1 THEN 1 WHEN demand <= 2 THEN 2
@@ -416,9 +423,9 @@ GROUP BY b.bin"""
 def oracle_queries(p: dict) -> dict[str, str]:
     """SQL per query key; ``p`` holds the parameters shared with the Spark side."""
     min_rides, caps, seed = p["min_rides"], p["caps"], p["seed"]
-    diag = _diag(min_rides)
+    diag = _diag()
     train = f"WITH {_training(min_rides)}"
-    scoring = _scoring(min_rides)
+    scoring = _scoring()
     probs = ", ".join(repr(q) for q in quantile_points())
     q: dict[str, str] = {}
 
@@ -545,6 +552,11 @@ FROM scored
 WHERE target_hour_start >= (SELECT max(target_hour_start) FROM labels) - INTERVAL 7 DAY
 GROUP BY 1"""
 
+    q["model_baselines"] = f"""WITH {_training(1, _BUSY)},{_lags("tpanel")}
+SELECT count(*) AS n_rows, {_r("avg(demand)", "zero_mae")},
+  {_r("avg(abs(demand - coalesce(l7, 0)))", "lag7_mae")} FROM lagged
+WHERE hour_ts >= (SELECT max(hour_ts) FROM tpanel) - INTERVAL 7 DAY"""
+
     # Scoring
     rounded = ", ".join(
         _r(c, c)

@@ -63,16 +63,25 @@ class PanelSpec:
             raise ValueError(f"grid_mode must be one of {GRID_MODES}. Got: {self.grid_mode!r}")
         return mode
 
-    def key(self, rides: DataFrame) -> DataFrame:
+    def _keyed(self, rides: DataFrame, on_bad: str) -> DataFrame:
         return D.keyed_rides(
             rides,
             self.start_time_col,
             self.hour_col,
             self.station_col,
             self.city_col,
-            self.on_bad,
+            on_bad,
         )
 
+    def key(self, rides: DataFrame) -> DataFrame:
+        """The rides of the panel. Those that are set aside are not among them."""
+        return self._keyed(rides, "drop" if self.on_bad == "quarantine" else self.on_bad)
+
+    def set_aside(self, rides: DataFrame) -> DataFrame:
+        """The rides that ``quarantine`` keeps out of the panel, with all their columns."""
+        kept = self._keyed(rides, "quarantine")
+        return kept.where(F.col("target_hour_start").isNull())
+
 
 def _windows(cells: DataFrame, spec: PanelSpec) -> DataFrame:
     if spec.mode == "full":

@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_STATION = {"mod8": "user_id % 8", "user": "user_id"}
+_STATION = {
+    "mod8": "user_id % 8",
+    "user": "user_id",
+    "user_week": "user_id * 10 + (day(ts) - 1) div 7",
+    "busy": "CASE WHEN user_id % 16 = 0 THEN 1 ELSE 0 END",
+}
 
 
-def rides_from_events(
-    events: DataFrame, station: str = "mod8", where: str | None = None
-) -> DataFrame:
+def rides_from_events(events: DataFrame, station: str = "mod8") -> DataFrame:
     """Rides with mixed station spellings, weather, calendar and station attributes.
 
     Every attribute is integer arithmetic on the event, so another engine can rebuild it.
     """
-    if where:
-        events = events.where(where)
     base = events.selectExpr(
         "event_id",
         "ts AS started_at",
@@ -72,22 +73,18 @@ def dense_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sparse_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many stations with few rides, some open for less than the minimum window."""
-    return rides_from_events(events(spark, sf_dir), "user", "value > 60")
+    """Every user a new station each week: few rides each, many open for less than the
+    minimum window. All events take part."""
+    return rides_from_events(events(spark, sf_dir), "user_week")
+
+
+def busy_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stations per city that open every eighth hour: one crowded, one quiet, and empty
+    hours in between. All events take part."""
+    gathered = F.col("ts") - F.make_dt_interval(F.lit(0), F.hour("ts") % 8)
+    return rides_from_events(events(spark, sf_dir).withColumn("ts", gathered), "busy")
 
 
 def wide_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user a station."""
     return rides_from_events(events(spark, sf_dir), "user")
-
-
-def as_training(rides: DataFrame) -> DataFrame:
-    """The training layout adds hour_ts and the ISO date."""
-    from demandgrid.functions.keys import date_text, floor_hour
-
-    return rides.withColumns(
-        {
-            "hour_ts": floor_hour(F.col("started_at")),
-            "date": date_text(F.col("started_at")),
-        }
-    )

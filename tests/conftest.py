@@ -44,3 +44,22 @@ def small_rides(spark):
         "office_poi_count_1000m bigint, holiday_name string, holiday int, working_day int"
     )
     return spark.createDataFrame(rows, schema).repartition(6)
+
+
+@pytest.fixture
+def sample_targets(spark):
+    """Three target rows: two spellings of one station, and no apparent temperature."""
+    return spark.sql("""
+        SELECT id, city, start_station_id, hour_ts, hour_ts AS target_hour_start,
+               date_format(hour_ts, 'yyyy-MM-dd') AS date, 1 AS weekday, 0 AS weekend,
+               0 AS holiday, 1 AS working_day, 50D + id AS relative_humidity_2m, 0D AS rain,
+               10D AS cloud_cover, 4D AS wind_speed_10m, 120D AS bike_lane_length_500m,
+               90D AS park_area_500m, 2L AS university_count_1000m, 3L AS office_poi_count_1000m,
+               4L AS retail_poi_count_1000m, 5L AS restaurant_cafe_count_500m,
+               6L AS transit_stop_count_500m, 700D AS distance_to_nearest_rail_station,
+               800D AS distance_to_city_center
+        FROM VALUES
+          (0L, 'A', '77.0', timestamp_ntz'2025-03-04 08:00:00'),
+          (1L, 'A', ' 77', timestamp_ntz'2025-03-04 12:00:00'),
+          (2L, 'B', 'dock_5', timestamp_ntz'2025-03-04 17:00:00')
+          AS t(id, city, start_station_id, hour_ts)""")

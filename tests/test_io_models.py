@@ -33,6 +33,40 @@ def test_csv_rides_keep_ids_as_text_and_bad_times_as_null(spark, tmp_path):
         IO.read_rides(spark, str(path), "xml")
 
 
+def test_csv_whole_numbers_in_any_spelling(spark, tmp_path):
+    (tmp_path / "rides.csv").write_text(
+        "start_station_id,office_poi_count_1000m,holiday,working_day\n"
+        "1,3.0,1.0,0.0\n2,4,0,1\n3, 5 ,,x\n4,2.5,1e0,-1\n"
+    )
+    rows = IO.read_rides(spark, str(tmp_path / "rides.csv"), "csv").orderBy("start_station_id")
+    got = [(r.office_poi_count_1000m, r.holiday, r.working_day) for r in rows.collect()]
+    assert got == [(3, 1, 0), (4, 0, 1), (5, None, None), (None, 1, -1)]
+
+
+def test_csv_files_with_another_column_order_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("start_station_id,holiday\n1,1\n")
+    (tmp_path / "b.csv").write_text("holiday,start_station_id\n0,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        IO.read_rides(spark, str(tmp_path), "csv").collect()
+
+
+@pytest.mark.parametrize("mode", PN.GRID_MODES)
+def test_quarantine_gives_the_panel_of_drop(spark, small_rides, mode):
+    bad = small_rides.withColumn(
+        "started_at", F.when(F.col("event_id") % 5 != 0, F.col("started_at"))
+    )
+    panels = {
+        on_bad: PN.station_hour_panel(bad, PN.PanelSpec(grid_mode=mode, caps=None, on_bad=on_bad))
+        for on_bad in ("drop", "quarantine")
+    }
+    columns = ["id", "city_key", "station_key", "target_hour_start", "demand"]
+    assert same(*(p.select(*columns) for p in panels.values()))
+    spec = PN.PanelSpec(on_bad="quarantine")
+    assert spec.set_aside(bad).count() == bad.where("event_id % 5 = 0").count()
+    with pytest.raises(Exception, match="no readable start time"):
+        PN.station_hour_panel(bad, PN.PanelSpec(grid_mode=mode, caps=None)).collect()
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
 def test_eval_pair_round_trip(spark, small_rides, tmp_path, fmt):
     spec = PN.PanelSpec(caps={"A": 10, "B": 10})
@@ -118,3 +152,17 @@ def test_models(spark, small_rides, tmp_path, settings):
         weights = R.feature_importance(model, spark, None)
         assert weights.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
         assert R.feature_importance(model, spark, 10).count() == 10
+
+
+def test_models_beat_zero_and_the_week_before(spark):
+    from demandgrid.plans import catalog as C
+
+    train = C._encoded_features(spark, "/root/testdata/sf0.01")
+    base = R.baseline_errors(train).first()
+    trees, linear = C._gbt(train), C._glm(train)
+    found = R.validation_errors(trees, train).first()
+    assert found.n_rows == base.n_rows
+    # The week before is nearly as good as the noise of the counts allows.
+    assert found.validation_mae < base.lag7_mae < base.zero_mae / 2
+    assert found.scored_mae < base.lag7_mae
+    assert R.validation_errors(linear, train).first().validation_mae < base.zero_mae / 2

@@ -11,7 +11,6 @@ from demandgrid.operators import scoring as SC
 from demandgrid.operators.quantiles import exact_quantiles
 from demandgrid.operators.sampling import sample_rows
 from demandgrid.models.predictors import ConstantPredictor, PandasPredictor
-from demandgrid.sources.io import smoke_targets
 
 N = 400
 
@@ -78,10 +77,10 @@ def test_contract_and_leaderboard(spark, labels):
     assert {"plus_inf", "worse"} <= strict and "good" not in strict
 
 
-def test_schema_rules(spark, labels):
-    targets = smoke_targets(spark)
+def test_schema_rules(spark, labels, sample_targets):
+    targets = sample_targets
     Q.assert_targets_are_safe(targets)
-    with pytest.raises(ValueError, match="leakage"):
+    with pytest.raises(ValueError, match="leaking: demand"):
         Q.assert_targets_are_safe(labels)
     with pytest.raises(ValueError, match="id"):
         Q.assert_targets_are_safe(targets.drop("id"))
@@ -98,6 +97,23 @@ def test_schema_rules(spark, labels):
         Q.assert_ok(report)
 
 
+def test_errors_count_the_rules_they_leave_out(spark):
+    rows = [(f"rule {i}", "m", False, i) for i in range(25)]
+    with pytest.raises(ValueError, match="and 5 more"):
+        Q.assert_ok(spark.createDataFrame(rows, Q.REPORT_SCHEMA))
+
+
+def test_silent_models_fail_and_none_left_is_an_error(spark, labels):
+    targets = labels.drop("demand")
+    made = predictions(spark).where("model IN ('good', 'missing_ids')")
+    board, failed = SC.leaderboard(targets, labels, made, models=["good", "silent"], require_one=True)
+    assert {r.model: r.error for r in failed.collect()}["silent"] == "no_rows"
+    assert {r.model for r in board.collect()} == {"good"}
+    assert {r.n_rows for r in board.where("city = 'OVERALL'").collect()} == {labels.count()}
+    with pytest.raises(ValueError, match="no model can be scored"):
+        SC.leaderboard(targets, labels, made.where("model <> 'good'"), require_one=True)
+
+
 def test_id_report(spark, labels):
     extra = labels.select("id").unionAll(spark.range(2)).where("id <> 5")
     got = {r["check"]: r.bad_rows for r in Q.id_report(extra, labels).collect()}
