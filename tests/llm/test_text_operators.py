@@ -73,7 +73,7 @@ def test_quality_counts_equal_plain_python(spark):
 
 def test_quality_score_is_the_mean_log_ratio(spark):
     texts = ["good plain words here"] * 3 + ["bad!! noise!! everywhere!!", None, "good"]
-    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (3, 0, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (2, 1, 0), (4, 1, 0), (3, 0, 0), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
     docs = docs_of(spark, texts)
     model = quality.fit(docs, labels, bins=64)
     grams = {
@@ -82,10 +82,12 @@ def test_quality_score_is_the_mean_log_ratio(spark):
             "doc_id", F.transform(F.concat("__q_h", "__q_2"), lambda h: F.pmod(h, F.lit(64))).alias("g")
         ).collect()
     }
+    held = {r.doc_id: r.held for r in quality.trusted_ids(labels).collect()}
+    assert set(held) == {0, 1, 2, 4} and not all(held.values())
     raw, good = Counter(), Counter()
     for i, gs in grams.items():
         raw.update(gs)
-        good.update(gs if i in (0, 1) else [])
+        good.update(gs if held.get(i) is False else [])
     n_raw, n_good = sum(raw.values()) + 64, sum(good.values()) + 64
     for r in quality.judged(docs, model).collect():
         own = [math.log((good[g] + 1) / n_good) - math.log((raw[g] + 1) / n_raw) for g in grams[r.doc_id]]
@@ -96,14 +98,14 @@ def test_quality_score_is_the_mean_log_ratio(spark):
 
 
 def test_quality_separates_held_out_labels(spark):
-    d = "/root/testdata/sf0.01"
+    d = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
     half = labels.filter("doc_id % 2 = 0")
     judged = quality.judged(docs, quality.fit(docs, half)).join(labels.filter("doc_id % 2 = 1"), "doc_id")
     rows = judged.filter("NOT base_failed").select("quality", "kept").collect()
     good = [r.kept for r in rows if r.quality == 1]
     bad = [r.kept for r in rows if r.quality == 0]
-    assert sum(good) >= 0.97 * len(good) and sum(bad) <= 0.1 * len(bad)
+    assert sum(good) >= 0.995 * len(good) and sum(bad) <= 0.1 * len(bad)
 
 
 def test_quality_without_rows_or_trusted_documents(spark):
