@@ -111,9 +111,9 @@ def feature_keys(df: DataFrame) -> DataFrame:
 
 
 def training_rides(rides: DataFrame, spec: FeatureSpec) -> TrainingRides:
-    """Key the rides and write their demand cells: the one pass over all rides.
+    """Key the rides and write their demand cells.
 
-    Statistics, history, grid and the list of major cities are derived from the cells. A
+    The attributes of stations and city-hours are reduced in passes of their own. Statistics, history, grid and the list of major cities are derived from the cells. A
     ride without a city belongs to no major city.
     """
     keyed = D.keyed_rides(rides.where(F.col("city").isNotNull()))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +26,6 @@ from demandgrid.schema import (
     EVAL_HOURS_SEED,
     HIDDEN_SAMPLE_ROWS,
     KEEP_HOURS,
-    MAX_EVAL_HOURS_BY_CITY,
     MIN_WINDOW_HOURS,
     STATION_COLUMNS,
     STATION_KEY,
@@ -46,7 +45,8 @@ class PanelSpec:
     buffer_after: int = BUFFER_HOURS_AFTER
     min_window_hours: int = MIN_WINDOW_HOURS
     keep_hours: tuple[int, ...] | None = KEEP_HOURS
-    caps: Mapping[str, int] | None = field(default_factory=lambda: dict(MAX_EVAL_HOURS_BY_CITY))
+    #: Hour caps by city, none by default; ``MAX_EVAL_HOURS_BY_CITY`` has the usual ones.
+    caps: Mapping[str, int] | None = None
     seed: int = EVAL_HOURS_SEED
     start_time_col: str = "started_at"
     hour_col: str = "hour_ts"
@@ -92,16 +92,32 @@ def _windows(cells: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def _capped_counts(windows: DataFrame, picked: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Grid rows per station when the hours of some cities are capped: the picked hours
-    inside the window, counted on one array per capped city (at most the cap long)."""
-    by_city = picked.groupBy("city_key").agg(F.collect_list("target_hour_start").alias("_hours"))
+    """Grid rows per station when the hours of some cities are capped.
+
+    The picked hours of a city are counted up along its hours once; a window then has the
+    count at its end less the count before its start, two lookups whatever the cap.
+    """
     listed, others = _split(windows, spec.caps)
-    inside = F.filter(
-        "_hours", lambda h: (h >= F.col("window_start")) & (h <= F.col("window_end"))
+    hour = F.expr("INTERVAL 1 HOUR")
+    period = listed.groupBy("city_key").agg(
+        F.sequence(F.min("window_start"), F.max("window_end"), hour).alias("_hours")
+    )
+    along = W.partitionBy("city_key").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    hit = picked.select("city_key", F.col("target_hour_start").alias("_at"), F.lit(1).alias("_hit"))
+    counted = (
+        period.select("city_key", F.explode("_hours").alias("_at"))
+        .join(hit, ["city_key", "_at"], "left")
+        .withColumn("_hit", F.coalesce("_hit", F.lit(0)))
+        .withColumn("_upto", F.sum("_hit").over(along))
+    )
+    starts = counted.select(
+        "city_key", F.col("_at").alias("window_start"), (F.col("_upto") - F.col("_hit")).alias("_before")
     )
+    ends = counted.select("city_key", F.col("_at").alias("window_end"), "_upto")
     capped = (
-        listed.join(S.small_if_capped(by_city, spec.caps), "city_key")
-        .select(*STATION_KEY, F.size(inside).cast("bigint").alias("n_rows"))
+        listed.join(starts, ["city_key", "window_start"])
+        .join(ends, ["city_key", "window_end"])
+        .select(*STATION_KEY, (F.col("_upto") - F.col("_before")).cast("bigint").alias("n_rows"))
     )
     return capped.unionAll(G.window_counts(others, spec.keep_hours))
 

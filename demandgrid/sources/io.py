@@ -11,8 +11,9 @@ from demandgrid.functions.keys import as_ntz, with_text_times
 from demandgrid.operators import contracts as Q
 from demandgrid.operators.cities import UNKNOWN_SCOPE, CityScope
 from demandgrid.plans.features import Artifacts
-from demandgrid.plans.panel import PanelSpec, station_hour_test_format
+from demandgrid.plans.panel import PanelSpec, labels_of, station_hour_panel, targets_of
 from demandgrid.schema import LABELS_SCHEMA, RIDES_SCHEMA
+from demandgrid.sources.staging import staged
 
 FORMATS = ("parquet", "csv")
 
@@ -120,9 +121,10 @@ def write_eval_pair(
     spec: PanelSpec | None = None,
     fmt: str = "parquet",
 ) -> tuple[DataFrame, DataFrame]:
-    """Build targets and labels and write both, partitioned by city."""
+    """Build the panel once, and write its targets and its labels, partitioned by city."""
     spec = spec or PanelSpec()
-    targets, labels = station_hour_test_format(rides, spec)
+    panel = staged(station_hour_panel(rides, spec), "panel")
+    targets, labels = targets_of(panel, spec), labels_of(panel, spec)
     for df, path in ((targets, targets_path), (labels, labels_path)):
         write_by(df, path, spec.city_col if fmt == "parquet" else None, fmt)
     return targets, labels
