@@ -186,10 +186,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Lice
     other = (
         docs.select(id_col, F.get(first, F.pmod(F.xxhash64(id_col), F.size(first)).cast("int")).alias("line"))
         .filter(~F.regexp_like("line", F.lit(ANCHOR)))
-        .orderBy(F.xxhash64(id_col, "line"))
-        .limit(SAMPLE_LINES)
-        .select("line", F.lit(UNKNOWN).alias("family"))
+        .select("line", F.xxhash64(id_col, "line").alias("h"))
     )
+    # Hashes alone are ordered, so that no task gathers the lines of all others.
+    last = other.select("h").orderBy("h").limit(SAMPLE_LINES).agg(F.max("h")).first()[0]
+    other = other.filter(F.col("h") <= F.lit(last)).limit(SAMPLE_LINES)
+    other = other.select("line", F.lit(UNKNOWN).alias("family"))
     rows = _binned(made.unionByName(other)).select("family", "__l_b", "line").collect()
     rows.sort(key=lambda r: (r["family"], r["line"]))
     places = {f: float(n) for n, f in enumerate(FAMILIES)}
