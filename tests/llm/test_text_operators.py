@@ -184,7 +184,11 @@ def plain_contaminated(docs, items):
             width = min(13, len(want))
             if len(want) < 5:
                 continue
-            for at in range(-len(want), len(own)):
+            places = {}
+            for k, token in enumerate(want):
+                places.setdefault(token, []).append(k)
+            lined_up = Counter(p - k for p, token in enumerate(own) for k in places.get(token, ()))
+            for at in (a for a, n in lined_up.items() if n >= 0.8 * width):
                 same = [
                     0 <= at + k < len(own) and own[at + k] == want[k] for k in range(len(want))
                 ]
