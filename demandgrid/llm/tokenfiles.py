@@ -20,9 +20,11 @@ no rows. Only the two named columns are read.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +34,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from demandgrid.llm.lists import Lists, Places
+from demandgrid.session import shuffle_partitions
 from demandgrid.sources.staging import staged
 
 MAGIC = b"DACTOK01"
 CHUNK_BITS = 8
 BLOCK = 512
 FILE_TOKENS = 16_000_000
-CACHE = 400_000
-SLICE_BYTES = 4_000_000
+CACHE = 700_000
+SLICE_BYTES = 8_000_000
 
 
 class Levels:
@@ -142,51 +146,71 @@ class TokenFile:
 class WordTokenizer:
     """Texts to ids; every run between ASCII white space is looked up or encoded once.
 
-    Holds for tokenizers that never match across white space and treat it all alike.
+    Holds for tokenizers that never match across white space and treat it all alike, and
+    that take marks after a letter for a piece of their own. If the description lower-cases,
+    runs that differ in the case of A-Z are encoded once.
     """
 
     def __init__(self, description: str, special_as_text: bool = True) -> None:
         self.tokenizer = Tokenizer.from_str(description)
         self.tokenizer.encode_special_tokens = special_as_text
+        self.lowers = special_as_text and '"Lowercase"' in description
         self.clear()
 
     def clear(self) -> None:
-        self.places: dict[bytes, int] = {}
-        self.pool, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.fresh: list[bytes] = []
+        self.places = Places(self.fresh, [0], b"")
+        self.runs, self.parts = Lists(np.uint32), Lists(np.uint32)
+        self.known: dict[bytes, int] = {}  # places in parts
+
+    def _settle(self) -> None:
+        """Works out the runs that came up since the last time."""
+        if not self.fresh:
+            return
+        split: list[bytes] = []
+        sizes = []
+        for run in self.fresh:
+            body = run.rstrip(b".,;:!?")
+            # Marks at the end are a piece of their own only right after a letter.
+            if len(body) < len(run) and body[-1:].isalpha():
+                split += (body, run[len(body) :])
+                sizes.append(2)
+            else:
+                split.append(run)
+                sizes.append(1)
+        new = [p for p in dict.fromkeys(split) if p not in self.known]
+        found = [
+            e.ids
+            for e in self.tokenizer.encode_batch_fast(
+                [p.decode() for p in new], add_special_tokens=False
+            )
+        ]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self.known.update(zip(new, range(self.parts.n, self.parts.n + len(new)), strict=True))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
+        self.parts.append(lengths, flat)
+        at = np.fromiter(map(self.known.__getitem__, split), np.int64, len(split))
+        ids, lengths = self.parts.take(at)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *sizes])]
+        self.runs.append(np.diff(ends), ids)
+        self.fresh.clear()
 
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and where each text begins."""
-        if len(self.places) > CACHE:
+        if self.runs.n > CACHE or self.parts.n > CACHE:
             self.clear()
-        # bytes.split cuts at blanks and the controls 9 to 13 alone.
-        runs = [(t or "").encode().split() for t in texts]
-        fresh = list({r: None for rs in runs for r in rs if r not in self.places})
-        if fresh:
-            found = self.tokenizer.encode_batch(
-                [r.decode() for r in fresh], add_special_tokens=False
-            )
-            lists = [e.ids for e in found]
-            flat = np.array([i for ids in lists for i in ids], np.uint32)
-            ends = self.starts[-1] + np.cumsum([len(ids) for ids in lists])
-            self.places.update((r, n) for n, r in enumerate(fresh, len(self.starts) - 1))
-            self.pool = np.concatenate([self.pool, flat])
-            self.starts = np.concatenate([self.starts, ends])
-        # Piece -1 stands for the end id.
-        counts = np.array([len(rs) + 1 for rs in runs])
-        at = np.fromiter(
-            (n for rs in runs for n in [*map(self.places.__getitem__, rs), -1]),
-            np.int64,
-            int(counts.sum()),
-        )
-        end, at = at < 0, np.maximum(at, 0)
-        stops = self.starts[np.minimum(at + 1, len(self.starts) - 1)]
-        begins = np.where(end, len(self.pool), self.starts[at])
-        lengths = np.where(end, 1, stops - begins)
-        before = np.cumsum(lengths) - lengths
-        pool = np.append(self.pool, np.uint32(end_id))
-        ids = pool[np.repeat(begins - before, lengths) + np.arange(lengths.sum())]
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
-        return ids, ends
+        at: list[np.ndarray] = [np.empty(0, np.int64)]
+        for text in texts:
+            # bytes.split cuts at blanks and the controls 9 to 13 alone.
+            raw = (text or "").encode()
+            own = (raw.lower() if self.lowers else raw).split()
+            at.append(np.fromiter(map(self.places.__getitem__, own), np.int64, len(own)))
+        self._settle()
+        counts = np.cumsum([len(a) for a in at])
+        ids, lengths = self.runs.take(np.concatenate(at))
+        cuts = np.concatenate([[0], np.cumsum(lengths)])[counts]
+        ids = np.insert(ids, cuts[1:], np.uint32(end_id))
+        return ids, cuts + np.arange(len(cuts))
 
 
 _tokenizers: dict[int, WordTokenizer] = {}
@@ -194,6 +218,7 @@ _tokenizers: dict[int, WordTokenizer] = {}
 
 def _tokenizer(shared) -> WordTokenizer:  # noqa: ANN001  a broadcast
     """One for each Python worker, kept between tasks."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     description, special_as_text = shared.value
     key = hash((description, special_as_text))
     if key not in _tokenizers:
@@ -327,7 +352,8 @@ def _read(folder: str):
 
 def read_tokens(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     """Reads the listed files: doc_id, start over all files, n_tokens and ids_crc32."""
-    listed = files.select("name", "first_token").repartition("name")
+    # A named number of tasks: by the few bytes of the list, adaptive execution would take one.
+    listed = files.select("name", "first_token").repartition(shuffle_partitions(spark), "name")
     return listed.mapInArrow(
         _read(folder), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )
