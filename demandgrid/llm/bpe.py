@@ -21,7 +21,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -30,8 +31,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from demandgrid.llm.lists import Lists, Places
+
 CACHE = 400_000
-SLICE = 4_000_000
+SLICE = 8_000_000
 WORDS_AT_ONCE = 50_000
 
 MERGE = """
@@ -65,19 +68,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-class _Places(dict):
-    """Numbers new keys in the order they come, and remembers them."""
-
-    def __init__(self, fresh: list[str], numbers: list[int], lead: str) -> None:
-        self.fresh, self.numbers, self.lead = fresh, numbers, lead
-
-    def __missing__(self, key: str) -> int:
-        self[key] = at = self.numbers[0]
-        self.numbers[0] = at + 1
-        self.fresh.append(self.lead + key)
-        return at
-
-
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
@@ -99,6 +89,7 @@ class Codec:
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM token_rows")
         self.blank = np.zeros(max(ranks.values(), default=0) + 1, bool)
         self.blank[[i for t, i in ranks.items() if t[:1] == b" "]] = True
+        self.names = [str(i) for i in range(len(self.blank))]
         self._clear()
 
     def _table(self, name: str, rows: pa.Table) -> None:
@@ -107,23 +98,20 @@ class Codec:
     def _clear(self) -> None:
         self.fresh: list[str] = []
         numbers = [0]
-        self.first = _Places(self.fresh, numbers, "")
-        self.later = _Places(self.fresh, numbers, " ")
-        self.words: dict[str, list[int]] = {}
-        self.pool = np.empty(1 << 20, np.int32)
-        self.starts = np.zeros(1 << 16, np.int64)  # of a piece in the pool, and of the next
-        self.open = np.zeros(1 << 16, bool)  # pieces with white space at an end
-        self.known = 0
-
-    def _merged(self, words: list[str]) -> None:
-        """Fills in the ids of new words."""
-        todo = []
-        for w in words:
-            whole = self.ranks.get(w.encode())
-            if whole is None:
-                todo.append(w)
-            else:
-                self.words[w] = [whole]
+        self.first = Places(self.fresh, numbers, "")
+        self.later = Places(self.fresh, numbers, " ")
+        self.pieces, self.word_ids = Lists(), Lists()
+        self.words: dict[str, int] = {}  # places in word_ids
+        self.open: list[bool] = []  # pieces with white space at an end
+
+    def _learn(self, words: Iterable[str]) -> None:
+        """Works out the ids of words that were not met yet."""
+        whole, todo = [], []
+        for w in dict.fromkeys(words):
+            if w not in self.words:
+                (whole if w.encode() in self.ranks else todo).append(w)
+        ids = np.array([self.ranks[w.encode()] for w in whole], np.int32)
+        self._keep(whole, np.ones(len(whole), np.int64), ids)
         for k in range(0, len(todo), WORDS_AT_ONCE):
             part = todo[k : k + WORDS_AT_ONCE]
             raw = [w.encode() for w in part]
@@ -132,69 +120,62 @@ class Codec:
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
             numbers = pa.array(np.arange(len(part), dtype=np.int32))
             self._table("fresh", pa.table({"word": numbers, "ids": lists}))
-            rows = self.con.execute(MERGE).fetchall()
-            self.words.update((part[w], found) for w, found in rows)
+            found = self.con.execute(MERGE).to_arrow_table().column("ids").combine_chunks()
             self.con.unregister("fresh")
+            sizes = found.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            self._keep(part, sizes, found.flatten().to_numpy(zero_copy_only=False))
+
+    def _keep(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.words.update(zip(words, range(self.word_ids.n, self.word_ids.n + len(words)), strict=True))
+        self.word_ids.append(sizes, ids)
+
+    def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        return self.word_ids.take(at)
 
     def _settle(self) -> None:
         """Works out the pieces that came up since the last time."""
         if not self.fresh:
             return
         split = [self.pattern.findall(p) for p in self.fresh]
-        new = {w: None for ws in split for w in ws if w not in self.words}
-        self._merged(list(new))
-        flat = [i for ws in split for w in ws for i in self.words[w]]
-        sizes = [sum(len(self.words[w]) for w in ws) for ws in split]
-        held, n = int(self.starts[self.known]), len(self.fresh)
-        while len(self.pool) < held + len(flat):
-            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        while len(self.starts) < self.known + n + 1:
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.open = np.concatenate([self.open, np.zeros_like(self.open)])
-        self.pool[held : held + len(flat)] = flat
-        self.starts[self.known + 1 : self.known + n + 1] = held + np.cumsum(sizes)
-        self.known += n
+        words = list(chain.from_iterable(split))
+        self._learn(words)
+        ids, lengths = self._ids_of(words)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, split)])]
+        self.pieces.append(np.diff(ends), ids)
         self.fresh.clear()
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text begins (and the last one ends)."""
-        if self.known > CACHE or len(self.words) > CACHE:
+        if self.pieces.n > CACHE or self.word_ids.n > CACHE:
             self._clear()
         pieces, whole = [], {}
-        for k, text in enumerate(texts):
+        for text in texts:
             if not text:
                 pieces.append(np.empty(0, np.int64))
                 continue
             parts = text.split(" ")
             at = np.fromiter(map(self.later.__getitem__, parts[1:]), np.int64, len(parts) - 1)
             pieces.append(np.concatenate([[self.first[parts[0]]], at]))
-        for n, p in enumerate(self.fresh, self.known):
-            while len(self.open) <= n:
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-                self.open = np.concatenate([self.open, np.zeros_like(self.open)])
+        for p in self.fresh:
             # The blank in front is a cut only next to characters that aren't white space.
             body = p[1:] if p[:1] == " " else p
-            self.open[n] = not body or body[0].isspace() or body[-1].isspace()
+            self.open.append(not body or body[0].isspace() or body[-1].isspace())
+        open_ = np.array(self.open, bool)
         for k, at in enumerate(pieces):
-            if len(at) > 1 and self.open[at].any():
+            if len(at) > 1 and open_[at].any():
                 whole[k] = self.pattern.findall(texts[k])
+                pieces[k] = at[:0]
         self._settle()
-        if whole:
-            self._merged(list({w: None for ws in whole.values() for w in ws if w not in self.words}))
-        counts = np.array([len(p) for p in pieces])
-        for k in whole:
-            counts[k] = 0
-            pieces[k] = pieces[k][:0]
-        at = np.concatenate([np.empty(0, np.int64), *pieces])
-        lengths = self.starts[at + 1] - self.starts[at]
-        before = np.cumsum(lengths) - lengths
-        ids = self.pool[np.repeat(self.starts[at] - before, lengths) + np.arange(lengths.sum())]
+        counts = np.array([len(p) for p in pieces], np.int64)
+        ids, lengths = self.pieces.take(np.concatenate([np.empty(0, np.int64), *pieces]))
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
         if not whole:
             return ids, ends
+        self._learn(chain.from_iterable(whole.values()))
         out = [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-        for k, ws in whole.items():
-            out[k] = np.array([i for w in ws for i in self.words[w]], np.int32)
+        for k, words in whole.items():
+            out[k] = self._ids_of(words)[0]
         return np.concatenate(out), np.cumsum([0, *map(len, out)])
 
     def runs(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -222,13 +203,17 @@ class Codec:
             lead = np.unique(which, return_index=True)[1]
         return first[lead], lengths[lead], which, np.searchsorted(first, ends)
 
+    @staticmethod
+    def _at(ids: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        shift = begins - (np.cumsum(lengths) - lengths)
+        return ids[np.repeat(shift, lengths) + np.arange(lengths.sum())]
+
     def decoded_runs(self, ids: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         before = np.cumsum(lengths) - lengths
-        pos = np.arange(lengths.sum()) - np.repeat(before, lengths)
         rows = {
-            "run": np.repeat(np.arange(len(lengths)), lengths),
-            "pos": pos,
-            "id": ids[np.repeat(begins, lengths) + pos],
+            "run": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths),
+            "pos": (np.arange(lengths.sum()) - np.repeat(before, lengths)).astype(np.int32),
+            "id": self._at(ids, begins, lengths),
         }
         self._table("places", pa.table(rows))
         found = self.con.execute(DECODE).fetchall()
@@ -245,10 +230,9 @@ class Codec:
         octets = self.decoded_runs(ids, begins, lengths)
         if len(octets) != len(begins):
             raise ValueError("an id is not in the vocabulary")
-        names = [
-            ",".join(map(str, ids[a : a + n].tolist()))
-            for a, n in zip(begins.tolist(), lengths.tolist(), strict=True)
-        ]
+        flat = list(map(self.names.__getitem__, self._at(ids, begins, lengths).tolist()))
+        cut = np.concatenate([[0], np.cumsum(lengths)]).tolist()
+        names = [",".join(flat[a:b]) for a, b in zip(cut, cut[1:], strict=False)]
         which = which.tolist()
         spans = [which[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
         return (
