@@ -1,18 +1,22 @@
 """Licence statements, by a trained paragraph classifier in DataFrame functions.
 
-A paragraph is a line with words. One that holds an anchor (a stem that every statement has)
-is scored: its words and pairs of neighbours are hashed into bins, and a multinomial logistic
-regression over the bins gives each family a probability. The class ``unknown`` is trained on
-other paragraphs, the probabilities are calibrated by a temperature on held-out statements,
-and a family that is less likely than a fitted threshold is unknown too. A prediction counts
-only if a template of its family confirms it: enough of the template's word pairs must stand
-in the paragraph. What is not confirmed is unknown.
+Texts are taken as words of letters and digits, so comment marks drop out. Two kinds of
+passages are scored: every line, and every line end inside a paragraph (the lines up to one
+without words), with up to ``REACH`` words on both sides; no template has more words, so a
+statement that is wrapped stands whole in one of them or fills whole lines. Words and pairs of
+neighbours are hashed into bins, and a multinomial logistic regression over the bins gives
+each family a probability. The class ``unknown`` is trained on other lines, and the
+probabilities are calibrated by a temperature on held-out statements. A line is reported if a
+family reaches the fitted threshold. The family counts only if a template of it confirms it:
+enough of the word pairs of the shorter of the two must stand in the other. What is not
+confirmed is unknown. A line end is reported, as the place of the line before it, if it is
+confirmed and neither of its two lines is by itself.
 
 The regression is fitted to statements made from the templates and to a bounded sample of
-paragraphs of the documents. Scoring covers every paragraph of every document.
+lines of the documents. Scoring covers every passage of every document.
 
-Null and empty texts have no paragraphs. Documents without an anchor give no rows. Null and
-repeated ids and repeated lines give a row each. An empty table gives none, and the
+Null and empty texts have no passages. Documents without a likely family give no rows. Null
+and repeated ids and repeated lines give a row each. An empty table gives none, and the
 regression is then fitted to the made statements alone. Only the two named columns are read.
 """
 
@@ -27,8 +31,6 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm.common import evened, words_of
-
 BINS = 4096
 #: Paragraphs of the documents that the unknown class is fitted to, and made statements for
 #: each template.
@@ -37,8 +39,12 @@ MADE = 40
 #: The threshold lets this share of held-out statements pass.
 RECALL = 0.99
 CONFIRMED = 0.7
+#: Words on each side of a line end.
+REACH = 24
+#: A passage with fewer pairs doesn't count as the shorter side.
+LEAST_PAIRS = 2
 UNKNOWN = "unknown"
-#: One of these stems is in every statement.
+#: Stems of the longer templates. Nothing is filtered by them.
 ANCHOR = r"(?i)licen[cs]|copyright|warrant|redistribut|permission|rights reserved|public domain|spdx"
 # The usual short notices of public licences.
 TEMPLATES = {
@@ -96,6 +102,26 @@ TEMPLATES = {
     ),
     "proprietary": ("All rights reserved.", "Unauthorized copying of this file is not permitted without permission"),
 }
+#: Further templates, of names alone.
+SHORT = {
+    "mit": ("The MIT License (MIT)", "License: MIT"),
+    "apache": ("License: Apache-2.0", "under the terms of the Apache License"),
+    "gpl": (
+        "License: GPL-3.0",
+        "Distributed under the terms of the GPL, version 3",
+        "under the terms of the GNU General Public License",
+    ),
+    "bsd": ("License: BSD-3-Clause", "BSD 3-Clause License"),
+    "cc-by": ("Available under CC BY 4.0", "Creative Commons Attribution 4.0 International"),
+    "cc-by-sa": (
+        "Available under CC BY-SA 4.0",
+        "Creative Commons Attribution-ShareAlike 4.0 International",
+    ),
+    "cc-by-nc": (
+        "Available under CC BY-NC 4.0",
+        "Creative Commons Attribution-NonCommercial 4.0 International",
+    ),
+}
 FAMILIES = (*TEMPLATES, UNKNOWN)
 
 
@@ -109,48 +135,64 @@ class LicenceModel:
     threshold: float
 
 
-def _grams(lines: DataFrame) -> DataFrame:
-    """Adds __l_w (words, punctuation and case evened) and __l_2 (pairs of neighbours)."""
-    plain = F.regexp_replace(F.lower("line"), r"[^\p{L}\p{N}]+", " ")
-    return (
-        lines.withColumn("__l_t", evened(plain))
-        .withColumn("__l_w", words_of(F.col("__l_t")))
-        .drop("__l_t")
-        .withColumn(
-            "__l_2",
-            F.zip_with(
-                F.slice("__l_w", 1, F.greatest(F.size("__l_w") - 1, F.lit(0))),
-                F.slice("__l_w", 2, F.greatest(F.size("__l_w") - 1, F.lit(0))),
-                lambda a, b: F.concat_ws(" ", a, b),
-            ),
-        )
-    )
+def _all_templates() -> list[tuple[str, str]]:
+    return [(f, t) for f, ts in TEMPLATES.items() for t in (*ts, *SHORT.get(f, ()))]
+
+
+def _plain(text: Column) -> Column:
+    """Lower case, with one blank for everything between words but line ends."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
+
 
+def _words(plain: Column) -> Column:
+    return F.array_remove(F.split(F.trim(plain), " "), "")
 
-def _binned(lines: DataFrame) -> DataFrame:
-    """Adds __l_b, the bin of every distinct word and pair."""
+
+def _pairs(words: str) -> Column:
+    """The pairs of neighbours, as texts."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))
+
+
+def _binned(passages: DataFrame) -> DataFrame:
+    """Adds __l_2, the pairs, and __l_b, the bin of every distinct word and pair of __l_w."""
     grams = F.array_distinct(F.concat("__l_w", "__l_2"))
-    return _grams(lines).withColumn(
+    return passages.withColumn("__l_2", _pairs("__l_w")).withColumn(
         "__l_b", F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(BINS)).cast("int"))
     )
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, place, line): the lines with an anchor, and their places from 0."""
-    lines = F.filter(
-        F.transform(
-            F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"),
-            lambda x, i: F.struct(i.alias("place"), x.alias("line")),
-        ),
-        lambda x: F.regexp_like(x["line"], F.lit(ANCHOR)),
+    """(id, place, __l_w, __l_own, __l_next): the words of every line with words, and of every
+    line end in a paragraph; then with those of both lines, else null. Places are from 0."""
+    lines = docs.select(
+        id_col, F.transform(F.split(_plain(F.col(text_col)), "\n"), _words).alias("__l_lines")
+    )
+    each = F.transform(
+        "__l_lines",
+        lambda w, i: F.struct(i.alias("place"), w.alias("own"), F.get("__l_lines", i + 1).alias("next")),
     )
     # The outer form, as the plain one evaluates the lines a second time to filter on them.
-    found = docs.select(id_col, F.explode_outer(lines).alias("p"))
-    return found.filter("p IS NOT NULL").select(id_col, "p.place", "p.line")
+    line = lines.select(id_col, F.explode_outer(each).alias("p")).filter(F.size("p.own") > 0)
+    own, after = F.col("p.own"), F.col("p.next")
+    tail = F.slice(own, F.greatest(F.size(own) - REACH + 1, F.lit(1)), F.lit(REACH))
+    none = F.lit(None).cast("array<string>")
+    alone = F.struct(own.alias("w"), none.alias("own"), none.alias("next"))
+    end = F.struct(
+        F.concat(tail, F.slice(after, 1, REACH)).alias("w"), own.alias("own"), after.alias("next")
+    )
+    both = F.when(F.size(after) > 0, F.array(alone, end)).otherwise(F.array(alone))
+    return line.select(id_col, F.col("p.place").alias("place"), F.explode_outer(both).alias("u")).select(
+        id_col,
+        "place",
+        F.col("u.w").alias("__l_w"),
+        F.col("u.own").alias("__l_own"),
+        F.col("u.next").alias("__l_next"),
+    )
 
 
 def made_statements(n: int = MADE, seed: int = 3) -> list[tuple[str, str]]:
-    """(line, family): templates with other words around them, some words lost or recased."""
+    """(line, family): templates with other words around them or cut, some words lost or recased."""
     rng = random.Random(seed)
     syllables = ["ba", "er", "th", "on", "in", "ly", "qu", "sch", "ment", "os", "ti", "re"]
 
@@ -158,17 +200,20 @@ def made_statements(n: int = MADE, seed: int = 3) -> list[tuple[str, str]]:
         return ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(rng.randint(low, high))]
 
     out = []
-    for family, templates in TEMPLATES.items():
-        for template in templates:
-            for _ in range(n):
-                own = template.split()
-                if len(own) > 5 and rng.random() < 0.4:
-                    del own[rng.randrange(len(own))]
-                text = [*filler(0, 6), *own, *filler(0, 12)]
-                if rng.random() < 0.3:
-                    text = [*filler(1, 2), "copyright", str(rng.randint(1990, 2030)), *text]
-                line = " ".join(text)
-                out.append((rng.choice([line, line, line.lower(), line.upper()]), family))
+    for family, template in _all_templates():
+        for _ in range(n):
+            own = template.split()
+            if len(own) > 5 and rng.random() < 0.4:
+                del own[rng.randrange(len(own))]
+            text = [*filler(0, 6), *own, *filler(0, 12)]
+            if len(own) > 10 and rng.random() < 0.4:  # a line of a wrapped statement
+                size = rng.randint(5, len(own) - 1)
+                begin = rng.randint(0, len(own) - size)
+                text = own[begin : begin + size]
+            elif rng.random() < 0.3:
+                text = [*filler(1, 2), "copyright", str(rng.randint(1990, 2030)), *text]
+            line = " ".join(text)
+            out.append((rng.choice([line, line, line.lower(), line.upper()]), family))
     odd = ["license", "licence", "copyright", "permission", "warranty", "version", "public", "under", "rights"]
     for _ in range(n * 8):
         text = filler(2, 25)
@@ -183,16 +228,22 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Lice
     spark: SparkSession = docs.sparkSession
     made = spark.createDataFrame(made_statements(), "line string, family string")
     first = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
-    other = (
-        docs.select(id_col, F.get(first, F.pmod(F.xxhash64(id_col), F.size(first)).cast("int")).alias("line"))
-        .filter(~F.regexp_like("line", F.lit(ANCHOR)))
-        .select("line", F.xxhash64(id_col, "line").alias("h"))
-    )
+    other = docs.select(
+        id_col, F.get(first, F.pmod(F.xxhash64(id_col), F.size(first)).cast("int")).alias("line")
+    ).select("line", F.xxhash64(id_col, "line").alias("h"))
     # Hashes alone are ordered, so that no task gathers the lines of all others.
     last = other.select("h").orderBy("h").limit(SAMPLE_LINES).agg(F.max("h")).first()[0]
     other = other.filter(F.col("h") <= F.lit(last)).limit(SAMPLE_LINES)
-    other = other.select("line", F.lit(UNKNOWN).alias("family"))
-    rows = _binned(made.unionByName(other)).select("family", "__l_b", "line").collect()
+    other = other.select("line", F.lit(UNKNOWN).alias("family"), F.lit(True).alias("sampled"))
+    every = made.withColumn("sampled", F.lit(False)).unionByName(other)
+    binned = _binned(every.withColumn("__l_w", _words(_plain(F.col("line")))))
+    templates = _template_grams(spark)
+    # A sampled line that a template confirms states a licence, and teaches nothing here.
+    rows = [
+        r
+        for r in binned.select("family", "__l_b", "__l_2", "line", "sampled").collect()
+        if not (r["sampled"] and any(_share(set(r["__l_2"]), g) >= CONFIRMED for _, g in templates))
+    ]
     rows.sort(key=lambda r: (r["family"], r["line"]))
     places = {f: float(n) for n, f in enumerate(FAMILIES)}
     data = [
@@ -233,15 +284,41 @@ def _literal(values: tuple[float, ...]) -> Column:
 
 
 def _template_grams(spark: SparkSession) -> list[tuple[str, list[str]]]:
-    rows = [(f, k, t) for f, ts in TEMPLATES.items() for k, t in enumerate(ts)]
-    found = _grams(spark.createDataFrame(rows, "family string, k int, line string"))
-    return [(r["family"], sorted(set(r["__l_2"]))) for r in found.orderBy("family", "k").collect()]
+    rows = [(f, k, t) for k, (f, t) in enumerate(_all_templates())]
+    made = spark.createDataFrame(rows, "family string, k int, line string").coalesce(1)
+    found = made.withColumn("__l_w", _words(_plain(F.col("line")))).withColumn("__l_2", _pairs("__l_w"))
+    return [(r["family"], sorted(set(r["__l_2"]))) for r in sorted(found.collect(), key=lambda r: r["k"])]
+
+
+def _share(pairs: set[str], template: list[str]) -> float:
+    """The share of the shorter side's pairs that stand in the other; see _overlap."""
+    return len(pairs.intersection(template)) / max(min(len(template), max(len(pairs), LEAST_PAIRS)), 1)
+
+
+def _overlap(pairs: str, family: str, templates: list[tuple[str, list[str]]]) -> Column:
+    """The largest _share over the templates of a family."""
+    by_family: dict[str, list[Column]] = {}
+    for name, grams in templates:
+        own = F.split(F.lit("\n".join(grams)), "\n")
+        least = F.least(F.lit(len(grams)), F.greatest(F.size(pairs), F.lit(LEAST_PAIRS)))
+        by_family.setdefault(name, []).append(F.size(F.array_intersect(pairs, own)) / least.cast("double"))
+    overlap = F.lit(0.0)
+    for name, shares in by_family.items():
+        most = F.greatest(*shares) if len(shares) > 1 else shares[0]
+        overlap = F.when(F.col(family) == name, most).otherwise(overlap)
+    return overlap
+
+
+def _worked_out(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns behind a generator, so that no later filter repeats them below itself."""
+    row = F.explode_outer(F.array(F.struct(*(c.alias(n) for n, c in columns.items()))))
+    return df.select("*", row.alias("__l_row")).select("*", "__l_row.*").drop("__l_row")
 
 
 def scanned(
     docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, place, family, probability, overlap) of every paragraph with an anchor."""
+    """(id, place, family, probability, overlap) of every line with a likely family."""
     lines = _binned(paragraphs(docs, id_col, text_col))
 
     def logit(k: int) -> Column:
@@ -249,28 +326,24 @@ def scanned(
         total = F.aggregate("__l_b", F.lit(model.intercepts[k]), lambda a, b: a + F.get(table, b))
         return total / F.lit(model.temperature)
 
-    scored = lines.withColumns({f"__l_z{k}": logit(k) for k in range(len(FAMILIES))})
-    names = [f"__l_z{k}" for k in range(len(FAMILIES))]
-    scored = scored.withColumn("__l_top", F.greatest(*names))
-    best = F.lit(UNKNOWN)
-    for k, family in reversed(list(enumerate(FAMILIES))):
-        best = F.when(F.col(f"__l_z{k}") == F.col("__l_top"), F.lit(family)).otherwise(best)
-    spread = sum((F.exp(F.col(n) - F.col("__l_top")) for n in names[1:]), F.exp(F.col(names[0]) - F.col("__l_top")))
-    guessed = scored.withColumns({"__l_f": best, "probability": 1 / spread}).withColumn(
-        "__l_s", F.array_distinct("__l_2")
+    scored = _worked_out(lines, {"__l_z": F.array(*map(logit, range(len(FAMILIES))))})
+    top = F.array_max("__l_z")
+    best = F.get(F.array(*map(F.lit, FAMILIES)), (F.array_position("__l_z", top) - 1).cast("int"))
+    spread = F.aggregate(
+        F.transform("__l_z", lambda z: F.exp(z - F.array_max("__l_z"))), F.lit(0.0), lambda a, b: a + b
     )
-    overlaps: dict[str, list[Column]] = {}
-    for family, grams in _template_grams(docs.sparkSession):
-        own = F.split(F.lit("\n".join(grams)), "\n")
-        share = F.size(F.array_intersect("__l_s", own)) / F.lit(float(len(grams)))
-        overlaps.setdefault(family, []).append(share)
-    overlap = F.lit(0.0)
-    for family, shares in overlaps.items():
-        most = F.greatest(*shares) if len(shares) > 1 else shares[0]
-        overlap = F.when(F.col("__l_f") == family, most).otherwise(overlap)
-    sure = (F.col("probability") >= model.threshold) & (F.col("overlap") >= CONFIRMED)
+    likely = _worked_out(scored, {"__l_f": best, "probability": 1 / spread}).filter(
+        (F.col("__l_f") != UNKNOWN) & (F.col("probability") >= model.threshold)
+    )
+    templates = _template_grams(docs.sparkSession)
+    passages = {"overlap": "__l_w", "__l_before": "__l_own", "__l_after": "__l_next"}
+    pairs = {f"__l_2{n}": F.array_distinct(_pairs(w)) for n, w in passages.items()}
+    found = _worked_out(likely, pairs)
+    found = _worked_out(found, {n: _overlap(f"__l_2{n}", "__l_f", templates) for n in passages})
+    sure = F.col("overlap") >= CONFIRMED
+    told = (F.col("__l_before") >= CONFIRMED) | (F.col("__l_after") >= CONFIRMED)
     return (
-        guessed.withColumn("overlap", overlap)
+        found.filter(F.col("__l_own").isNull() | (sure & ~told))
         .withColumn("family", F.when(sure, F.col("__l_f")).otherwise(F.lit(UNKNOWN)))
         .select(id_col, "place", "family", "probability", "overlap")
     )

@@ -318,3 +318,46 @@ def test_licences_of_odd_rows(spark):
     got = sorted((r.doc_id or 0, r.place, r.family) for r in licences.scanned(docs, model).collect())
     assert got == [(0, 0, "mit"), (5, 2, "mit"), (5, 3, "mit")]
     assert licences.scanned(docs.limit(0), model).count() == 0
+
+
+MIT = """The MIT License (MIT)
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+GPL = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version."""
+BSD = """// Redistribution and use in source and binary forms, with or without
+// modification, are permitted provided that the following conditions are met:"""
+APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at"""
+
+
+def narrow(text, width):
+    """Wrapped anew, as a comment."""
+    words, lines = text.replace("//", "").replace("#", "").split(), [" *"]
+    for w in words:
+        if len(lines[-1]) + len(w) >= width:
+            lines.append(" *")
+        lines[-1] += " " + w
+    return "\n".join(lines)
+
+
+def test_verbatim_headers_are_found(spark):
+    model = licences.fit(docs_of(spark, ["plain words\nof a text", None, ""]))
+    whole = MIT.split("\n\n")[1]
+    want = [(t, f) for x, f in ((whole, "mit"), (GPL, "gpl"), (BSD, "bsd"), (APACHE, "apache")) for t in (x, narrow(x, 44))]
+    want.append((MIT.split("\n")[0], "mit"))
+    rows = licences.scanned(docs_of(spark, [t for t, _ in want]), model).collect()
+    got = {(r.doc_id, r.family) for r in rows}
+    assert [(i, f) for i, (_, f) in enumerate(want) if (i, f) not in got] == []
+    # A statement that no line tells by itself, and none across a line without words.
+    text = "ba er th on in ly qu os ti re Released under the\nMIT License. ba er th on in ly qu os ti re"
+    rows = licences.scanned(docs_of(spark, [text, text.replace("\n", "\n *\n")]), model).collect()
+    assert [(r.doc_id, r.place) for r in rows if r.family == "mit"] == [(0, 0)]
