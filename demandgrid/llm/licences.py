@@ -13,7 +13,9 @@ confirmed is unknown. A line end is reported, as the place of the line before it
 confirmed and neither of its two lines is by itself.
 
 The regression is fitted to statements made from the templates and to a bounded sample of
-lines of the documents. Scoring covers every passage of every document.
+lines of the documents. Scoring covers every passage of every document: ``_gate`` spares the
+sums for the single families where their bound, from the fitted weights, is below the
+threshold already.
 
 Null and empty texts have no passages. Documents without a likely family give no rows. Null
 and repeated ids and repeated lines give a row each. An empty table gives none, and the
@@ -309,6 +311,24 @@ def _overlap(pairs: str, family: str, templates: list[tuple[str, list[str]]]) ->
     return overlap
 
 
+def _gate(model: LicenceModel) -> Column:
+    """False only where no family can reach the threshold.
+
+    A family of probability p leaves unknown 1 - p at most, so its logit leads that of unknown
+    by log(p / (1 - p)) times the temperature or more. No family leads by more than the sum of
+    the bins' largest leads. The small slack is for the order of the sums.
+    """
+    unknown = FAMILIES.index(UNKNOWN)
+    others = [k for k in range(len(FAMILIES)) if k != unknown]
+    lead = tuple(
+        max(model.weights[k][b] - model.weights[unknown][b] for k in others) for b in range(BINS)
+    )
+    first = max(model.intercepts[k] - model.intercepts[unknown] for k in others)
+    p = min(max(model.threshold, 1e-12), 1 - 1e-12)
+    total = F.aggregate("__l_b", F.lit(first), lambda a, b: a + F.get(_literal(lead), b))
+    return total >= F.lit(model.temperature * math.log(p / (1 - p)) - 1e-6)
+
+
 def _worked_out(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Adds columns behind a generator, so that no later filter repeats them below itself."""
     row = F.explode_outer(F.array(F.struct(*(c.alias(n) for n, c in columns.items()))))
@@ -319,7 +339,7 @@ def scanned(
     docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, place, family, probability, overlap) of every line with a likely family."""
-    lines = _binned(paragraphs(docs, id_col, text_col))
+    lines = _binned(paragraphs(docs, id_col, text_col)).filter(_gate(model))
 
     def logit(k: int) -> Column:
         table = _literal(model.weights[k])

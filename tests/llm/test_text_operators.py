@@ -361,3 +361,24 @@ def test_verbatim_headers_are_found(spark):
     text = "ba er th on in ly qu os ti re Released under the\nMIT License. ba er th on in ly qu os ti re"
     rows = licences.scanned(docs_of(spark, [text, text.replace("\n", "\n *\n")]), model).collect()
     assert [(r.doc_id, r.place) for r in rows if r.family == "mit"] == [(0, 0)]
+
+
+def test_statements_without_stems_and_the_gate(spark, monkeypatch):
+    texts = {
+        "Available under CC BY-SA 4.0": "cc-by-sa",
+        "Distributed under the terms of the GPL, version 3": "gpl",
+        "Creative Commons Attribution 4.0 International": "cc-by",
+        "Apache-2.0": "apache",
+    }
+    assert not any(re.search(licences.ANCHOR, t) for t in texts)
+    rng = random.Random(12)
+    words = " ".join([*texts, *(t for ts in licences.TEMPLATES.values() for t in ts)]).split() + ["ba", "er", "th"] * 40
+    made = [" ".join(rng.choices(words, k=rng.randint(1, 12))) for _ in range(300)]
+    docs = docs_of(spark, [*texts, *made])
+    model = licences.fit(docs_of(spark, ["plain words\nof a text", None, ""]))
+    rows = licences.scanned(docs, model).collect()
+    got = {(r.doc_id, r.family) for r in rows}
+    assert [t for i, (t, f) in enumerate(texts.items()) if (i, f) not in got] == []
+    monkeypatch.setattr(licences, "_gate", lambda model: F.lit(True))
+    every = licences.scanned(docs, model).collect()
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, every))
