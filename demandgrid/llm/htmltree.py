@@ -10,7 +10,11 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 #: Elements whose inside is never text of the page.
-HIDDEN = frozenset("script style template noscript iframe textarea title svg math head".split())
+HIDDEN = frozenset("script style template noscript iframe textarea title svg head".split())
+#: All that can stand in a head. The first other tag or text ends a head that is open.
+HEAD = frozenset(
+    "base basefont bgsound head html link meta noframes noscript script style template title".split()
+)
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset "
@@ -77,8 +81,21 @@ def parse(html: str) -> list[Node]:
             links -= nodes[i].tag == "a"
         del stack[upto:]
 
+    def end_head(tag: str) -> None:
+        """Closes an open head before body content, with what is hidden inside it."""
+        if not hidden or tag in HEAD:
+            return
+        for k in range(len(stack) - 1, 0, -1):
+            if nodes[stack[k]].tag == "head":
+                close(k)
+                return
+            # What stands in these is theirs; only the body itself ends them.
+            if tag != "body" and nodes[stack[k]].tag in HIDDEN:
+                return
+
     def open_tag(tag: str, attributes: str) -> None:
         nonlocal hidden, links
+        end_head(tag)
         if tag in BLOCKS:
             flush()
             for k in range(len(stack) - 1, 0, -1):
@@ -128,6 +145,8 @@ def parse(html: str) -> list[Node]:
     while at < len(html):
         found = TAG.search(html, at)
         start = found.start() if found else len(html)
+        if hidden and not html[at:start].isspace() and start > at:
+            end_head("#text")
         if start > at and not hidden:
             run.append((unescape(html[at:start]), links > 0))
         if not found:
