@@ -148,7 +148,7 @@ class WordTokenizer:
 
     Holds for tokenizers that never match across white space and treat it all alike, and
     that take marks after a letter for a piece of their own. If the description lower-cases,
-    runs that differ in the case of A-Z are encoded once.
+    runs of ASCII alone that differ in case are encoded once.
     """
 
     def __init__(self, description: str, special_as_text: bool = True) -> None:
@@ -203,7 +203,13 @@ class WordTokenizer:
         for text in texts:
             # bytes.split cuts at blanks and the controls 9 to 13 alone.
             raw = (text or "").encode()
-            own = (raw.lower() if self.lowers else raw).split()
+            if not self.lowers:
+                own = raw.split()
+            elif raw.isascii():
+                own = raw.lower().split()
+            else:
+                # Before the library has composed a letter and its marks, its case must stay.
+                own = [r.lower() if r.isascii() else r for r in raw.split()]
             at.append(np.fromiter(map(self.places.__getitem__, own), np.int64, len(own)))
         self._settle()
         counts = np.cumsum([len(a) for a in at])
