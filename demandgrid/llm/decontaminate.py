@@ -2,7 +2,9 @@
 
 A token is a run of letters, digits and bytes above 127, with A-Z lower-cased; all else
 separates. A mask such as 1110111 hashes the tokens at its ones and ignores the others, so
-a changed token spoils only the windows that look at it. Hashes of all masks over all
+a changed token spoils only the windows that look at it. Items shorter than ``overlap`` get
+further masks of their own length, one for every choice of changed tokens that the verifier
+accepts and that spoils all other windows, so that none of their passages is missed. Hashes of all masks over all
 benchmark items are joined with those of every document window. Around each hit the item is
 laid over the document, token by token, and verified: some stretch of ``overlap`` tokens
 (the whole item, if that is shorter) must agree in a share ``similarity`` of its places.
@@ -19,6 +21,7 @@ by ``contaminated``; ``clean`` returns them as they are.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -105,6 +108,19 @@ def _mask_offsets(mask: str) -> np.ndarray:
     return np.array([i for i, c in enumerate(mask) if c == "1"])
 
 
+def _short_masks(n: int, masks: tuple[str, ...], similarity: float) -> list[str]:
+    """Masks of length n for the choices of changed tokens that no window of ``masks`` avoids."""
+    changed = max(0, min(n, int(np.floor(n - similarity * n + 1e-9))))
+    places = [
+        {at + int(k) for k in _mask_offsets(m)} for m in masks for at in range(n - len(m) + 1)
+    ]
+    return [
+        "".join("0" if k in lost else "1" for k in range(n))
+        for lost in combinations(range(n), changed)
+        if all(p.intersection(lost) for p in places)
+    ]
+
+
 def _seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     """The hash of every window of a mask."""
     n = len(hashes) - len(mask) + 1
@@ -119,7 +135,13 @@ def _seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
 class Block:
     """Seed hashes of some benchmark items, sorted for lookup."""
 
-    def __init__(self, items: list[tuple[object, str]], masks: tuple[str, ...] = MASKS) -> None:
+    def __init__(
+        self,
+        items: list[tuple[object, str]],
+        masks: tuple[str, ...] = MASKS,
+        overlap: int = OVERLAP,
+        similarity: float = SIMILARITY,
+    ) -> None:
         raw = [t.encode() for _, t in items]
         offsets = np.cumsum([0, *map(len, raw)])
         hashes, first = tokens(np.frombuffer(b"".join(raw), np.uint8), offsets)
@@ -129,14 +151,12 @@ class Block:
                 same.setdefault(hashes[a:b].tobytes(), []).append(item)
         self.ids = list(same.values())
         self.items = [np.frombuffer(k, np.uint64) for k in same]
-        short = {"1" * len(i) for i in self.items if len(i) < min(map(len, masks))}
-        self.masks = (*masks, *sorted(short))
+        sizes = sorted({len(i) for i in self.items if len(i) < overlap})
+        short = [m for n in sizes for m in _short_masks(n, masks, similarity)]
+        self.masks = (*masks, *short)
         self.seeds, self.where, self.filters = [], [], []
-        for m in self.masks:
-            own = [
-                i if set(m) != {"1"} or m in masks or len(i) == len(m) else i[:0]
-                for i in self.items
-            ]
+        for k, m in enumerate(self.masks):
+            own = [i if k < len(masks) or len(i) == len(m) else i[:0] for i in self.items]
             found = [_seeds(i, m) for i in own]
             seeds = np.concatenate([np.empty(0, np.uint64), *found])
             item = np.repeat(np.arange(len(found)), [len(f) for f in found])
@@ -235,7 +255,7 @@ def contaminated(
     out = docs.sparkSession.createDataFrame([], schema)
     context = docs.sparkSession.sparkContext
     for items in _blocks(benchmark, item_col, item_text_col, block_tokens):
-        shared = context.broadcast(Block(items))
+        shared = context.broadcast(Block(items, MASKS, overlap, similarity))
         out = out.unionByName(
             chosen.mapInArrow(_reported(shared, overlap, similarity, schema.names), schema)
         )
@@ -296,6 +316,6 @@ def clean(
     """The documents that hold no benchmark passage, with all their columns."""
     context, place = docs.sparkSession.sparkContext, docs.columns.index(text_col)
     for items in _blocks(benchmark, item_col, item_text_col, block_tokens):
-        shared = context.broadcast(Block(items))
+        shared = context.broadcast(Block(items, MASKS, overlap, similarity))
         docs = docs.mapInArrow(_spared(shared, overlap, similarity, place), docs.schema)
     return docs
