@@ -27,6 +27,8 @@ from __future__ import annotations
 import math
 import random
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
@@ -40,6 +42,8 @@ SAMPLE_LINES = 1500
 MADE = 40
 #: The threshold lets this share of held-out statements pass.
 RECALL = 0.99
+#: Families whose bound is one sum.
+GROUP = 3
 CONFIRMED = 0.7
 #: Words on each side of a line end.
 REACH = 24
@@ -315,18 +319,25 @@ def _gate(model: LicenceModel) -> Column:
     """False only where no family can reach the threshold.
 
     A family of probability p leaves unknown 1 - p at most, so its logit leads that of unknown
-    by log(p / (1 - p)) times the temperature or more. No family leads by more than the sum of
-    the bins' largest leads. The small slack is for the order of the sums.
+    by log(p / (1 - p)) times the temperature or more. No family of a group leads by more than
+    the sum of the bins' largest leads in the group: all families first, then a few at a time.
+    The small slack is for the order of the sums.
     """
     unknown = FAMILIES.index(UNKNOWN)
     others = [k for k in range(len(FAMILIES)) if k != unknown]
-    lead = tuple(
-        max(model.weights[k][b] - model.weights[unknown][b] for k in others) for b in range(BINS)
-    )
-    first = max(model.intercepts[k] - model.intercepts[unknown] for k in others)
     p = min(max(model.threshold, 1e-12), 1 - 1e-12)
-    total = F.aggregate("__l_b", F.lit(first), lambda a, b: a + F.get(_literal(lead), b))
-    return total >= F.lit(model.temperature * math.log(p / (1 - p)) - 1e-6)
+    least = F.lit(model.temperature * math.log(p / (1 - p)) - 1e-6)
+
+    def reached(group: list[int]) -> Column:
+        lead = tuple(
+            max(model.weights[k][b] - model.weights[unknown][b] for k in group) for b in range(BINS)
+        )
+        first = max(model.intercepts[k] - model.intercepts[unknown] for k in group)
+        table = _literal(lead)
+        return F.aggregate("__l_b", F.lit(first), lambda a, b: a + F.get(table, b)) >= least
+
+    groups = [reached(others[k : k + GROUP]) for k in range(0, len(others), GROUP)]
+    return reached(others) & reduce(or_, groups)
 
 
 def _worked_out(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -339,7 +350,8 @@ def scanned(
     docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, place, family, probability, overlap) of every line with a likely family."""
-    lines = _binned(paragraphs(docs, id_col, text_col)).filter(_gate(model))
+    binned = _binned(paragraphs(docs, id_col, text_col)).drop("__l_2").withColumnRenamed("__l_b", "__l_h")
+    lines = _worked_out(binned, {"__l_b": F.col("__l_h")}).drop("__l_h").filter(_gate(model))
 
     def logit(k: int) -> Column:
         table = _literal(model.weights[k])
