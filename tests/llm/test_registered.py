@@ -32,7 +32,7 @@ def found(spark):
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(queries.ORACLE) <= set(entry.oracle_sql())
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
