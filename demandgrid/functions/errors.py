@@ -24,6 +24,7 @@ def with_errors(df: DataFrame) -> DataFrame:
 # Sums that add up over any grouping, so totals come from the groups instead of the rows.
 PARTS: dict[str, Column | str] = {
     "n_rows": "count(*)",
+    "n_scored": "count(prediction)",
     "sum_abs": "sum(abs_error)",
     "sum_sq": "sum(squared_error)",
     "sum_signed": "sum(signed_error)",
@@ -40,10 +41,12 @@ def metric_parts(df: DataFrame, by: list[str]) -> DataFrame:
 def add_parts(parts: DataFrame, by: list[str]) -> DataFrame:
     """Combine metric sums into coarser groups."""
     added = parts.groupBy(*by).agg(*[F.sum(name).alias(name) for name in PARTS])
-    return added.na.fill(0, ["n_rows", "n_negative"])
+    return added.na.fill(0, ["n_rows", "n_scored", "n_negative"])
 
 
 def part_mean(name: str) -> Column:
-    return F.try_divide(F.col(name), F.col("n_rows"))
+    """Mean over all rows; null if a row has no prediction, and the sum so leaves it out."""
+    whole = F.col("n_scored") == F.col("n_rows")
+    return F.when(whole | F.lit(name == "sum_true"), F.try_divide(F.col(name), F.col("n_rows")))
 
 

@@ -42,14 +42,23 @@ def schema_checks(targets: DataFrame, labels: DataFrame) -> list[tuple[str, str
     ]
 
 
+#: What each schema rule asks of targets, for errors.
+_ASKS = {
+    "target_columns": "no column id",
+    "station_identifier": "no station: start_station_id, station_id or station_key",
+    "target_time": "no time: target_hour_start, hour_ts, or date and hour",
+}
+
+
 def assert_targets_are_safe(targets: DataFrame) -> None:
-    """The failing schema rules of targets as one error; touches no data."""
+    """The failing schema rules of targets as one error that names the columns at fault;
+    touches no data."""
     rows = schema_checks(targets, targets)
     failed = [name for name, _, ok, _ in rows if not ok and name != "label_columns"]
     if failed:
-        leaks = leaking_columns(targets)
-        told = f" (leaking: {', '.join(leaks)})" if leaks else ""
-        raise ValueError(f"targets break {', '.join(failed)}{told}")
+        leaks = ", ".join(leaking_columns(targets))
+        told = [_ASKS.get(name, f"{name} (leaking: {leaks})") for name in failed]
+        raise ValueError(f"targets: {'; '.join(told)}")
 
 
 def id_counts(df: DataFrame, side: str) -> DataFrame:
@@ -141,14 +150,21 @@ def prediction_report(targets: DataFrame, predictions: DataFrame) -> DataFrame:
 
 
 def failing_models(targets: DataFrame, predictions: DataFrame, strict: bool = False) -> DataFrame:
-    """Models that cannot be scored, with the rules they break."""
+    """Models that cannot be scored, with the rules they break, after what they raised if the
+    predictions have an ``error`` column."""
     rules = [*SCORER_CHECKS, *(STRICT_CHECKS if strict else [])]
     broken = F.concat_ws(",", *[F.when(F.col(r) > 0, F.lit(r)) for r in rules])
-    return (
+    failing = (
         model_checks(targets, predictions)
         .select("model", broken.alias("error"))
         .where(F.col("error") != "")
     )
+    if "error" not in predictions.columns:
+        return failing
+    raised = predictions.where(F.col("error").isNotNull()).groupBy("model").agg(F.min("error").alias("raised"))
+    both = failing.join(raised, "model", "full")
+    error = F.concat_ws(",", F.concat(F.lit("raised "), "raised"), "error")
+    return both.select("model", error.alias("error"))
 
 
 def repeatability_report(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -24,7 +24,8 @@ def seeded_order(seed: int, *parts: Column) -> Column:
 def checked_caps(caps: Mapping[str, int]) -> dict[str, int]:
     invalid = {city: cap for city, cap in caps.items() if cap is None or int(cap) < 1}
     if invalid:
-        raise ValueError(f"hour caps must be positive integers. Invalid values: {invalid}")
+        told = ", ".join(f"{city}: {cap}" for city, cap in sorted(invalid.items()))
+        raise ValueError(f"a city keeps at least one hour, but its cap is {told}")
     return {city: int(cap) for city, cap in caps.items()}
 
 
@@ -67,7 +68,7 @@ def cap_eval_hours_per_city(
         return targets
     missing = {"city_key", "target_hour_start"} - set(targets.columns)
     if missing:
-        raise ValueError(f"targets are missing required columns: {sorted(missing)}")
+        raise ValueError(f"hours can be picked by {' and '.join(sorted(missing))} only, which targets lack")
     caps = checked_caps(caps)
     city_hours = targets.select("city_key", "target_hour_start").distinct()
     return keep_picked_hours(targets, pick_hours(city_hours, caps, seed), caps)

@@ -16,24 +16,34 @@ METRICS = ["mae", "rmse", "mean_true_demand", "mean_prediction"]
 
 
 def prediction_sets(sets: dict[str, DataFrame]) -> DataFrame:
-    """Stack prediction tables (id, prediction) under their model names."""
+    """Stack prediction tables (id, prediction) under their model names. If one of them has
+    an ``error`` column, as isolated predictors give, the stack has it too."""
     named = [
         df.select(
-            F.lit(name).alias("model"), "id", F.col("prediction").cast("double").alias("prediction")
+            F.lit(name).alias("model"),
+            "id",
+            F.col("prediction").cast("double").alias("prediction"),
+            *(["error"] if "error" in df.columns else []),
         )
         for name, df in sets.items()
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
 
 
-def score_rows(labels: DataFrame, predictions: DataFrame) -> DataFrame:
+def score_rows(labels: DataFrame, predictions: DataFrame, whole: bool = False) -> DataFrame:
     """Labels with prediction and errors, one row per model and id.
 
-    Rows meet on their id, never by position. Ids are unique on both sides once the
-    contract holds, so no key of this join is hot.
+    Every label appears for every model; where a model has no prediction, prediction and
+    errors are null. ``whole`` says that no model lacks any: the labels are then not
+    multiplied before the join. Rows meet on their id, never by position. Ids are unique on
+    both sides once the contract holds, so no key of this join is hot.
     """
     usable = predictions.select("model", "id", as_number("prediction").alias("prediction"))
-    return with_errors(labels.join(usable, "id"))
+    if whole:
+        return with_errors(labels.join(usable, "id"))
+    models = predictions.agg(F.sort_array(F.collect_set("model")).alias("models")).scalar()
+    every = labels.withColumn("model", F.explode(models))
+    return with_errors(every.join(usable, ["model", "id"], "left"))
 
 
 def _finish(parts: DataFrame) -> DataFrame:
@@ -110,7 +120,8 @@ def leaderboard(
         good = predictions.select("model").distinct().join(failures, "model", "left_anti")
         if good.isEmpty():
             raise ValueError("no model can be scored: every prediction set breaks a rule")
-    summary = score_by_city(score_rows(labels, predictions))
+    # Models that lack a prediction go below, so the labels need not be multiplied.
+    summary = score_by_city(score_rows(labels, predictions, whole=True))
     passed = summary.join(failures.select("model"), "model", "left_anti")
     if models:
         failures = failures.unionByName(missing_models(predictions, models))

@@ -72,10 +72,7 @@ _DENSE = _rides("user_id % 8") + "," + _KEYED + "," + _CELLS
 _SPARSE = _rides("user_id * 10 + (day(ts) - 1) // 7") + "," + _KEYED + "," + _CELLS
 _WIDE = _rides("user_id") + "," + _KEYED + "," + _CELLS
 _MOD8 = _rides("user_id % 8")
-_BUSY = _rides(
-    "CASE WHEN user_id % 16 = 0 THEN 1 ELSE 0 END",
-    "(SELECT * REPLACE (ts - to_hours(CAST(hour(ts) % 8 AS INT)) AS ts) FROM events) gathered",
-)
+_BUSY = _rides("CASE WHEN user_id % 3 = 0 THEN 1 ELSE 2 + user_id // 8 END")
 
 
 # --- grids -----------------------------------------------------------------------------
@@ -342,6 +339,65 @@ features AS (
   FROM joined)"""
 
 
+_HELD_OUT = """
+early AS (
+  SELECT * FROM tpanel WHERE hour_ts < (SELECT max(hour_ts) FROM tcells) - INTERVAL 7 DAY
+    AND city || start_station_id IN (
+      SELECT city || start_station_id FROM tcells
+      WHERE hour_ts < (SELECT max(hour_ts) FROM tcells) - INTERVAL 7 DAY))"""
+
+
+def _zeroed(prefix: str, std: bool = False) -> str:
+    kinds = ["mean", "median", "max", *(["std"] if std else [])]
+    names = [f"{prefix}_{k}_demand" for k in kinds]
+    return ", ".join(f"coalesce({n}, 0) AS {n}" for n in names)
+
+
+def _future(hours: int) -> str:
+    """Features of the hours after the last ride, unrounded, in a CTE named ``features``."""
+    return f"""WITH {_training(1, _BUSY)},{_HELD_OUT},{_stats(source="early")},
+st_hod AS (
+  SELECT city, start_station_id, hour, avg(demand) AS station_hour_mean_demand,
+    median(demand) AS station_hour_median_demand, max(demand) AS station_hour_max_demand,
+    coalesce(stddev_samp(demand), 0) AS station_hour_std_demand
+  FROM early GROUP BY 1, 2, 3),
+ahead AS (
+  SELECT m.*, unnest(generate_series(hi + INTERVAL 1 HOUR, hi + to_hours({hours}), INTERVAL 1 HOUR)) AS hour_ts
+  FROM tmeta m JOIN tbounds b ON m.city = b.city),
+fpanel AS (
+  SELECT a.*, CAST(hour(a.hour_ts) AS INT) AS hour, CAST(isodow(a.hour_ts) - 1 AS INT) AS weekday,
+    CAST(isodow(a.hour_ts) >= 6 AS INT) AS weekend, 0 AS holiday,
+    CAST(isodow(a.hour_ts) < 6 AS INT) AS working_day,
+    w.* EXCLUDE (city, hour_ts, holiday, working_day)
+  FROM ahead a LEFT JOIN thours w ON a.city = w.city AND a.hour_ts = w.hour_ts + INTERVAL 7 DAY),
+{_lags("fpanel").strip()},
+encoding AS (
+  SELECT city, row_number() OVER (ORDER BY city) - 1 AS city_index
+  FROM (SELECT DISTINCT city FROM tpanel)),
+joined AS (
+  SELECT l.*, {_LAG_COLUMNS.format(mean=_LAG_MEAN)}, e.city_index,
+    {_zeroed("station")}, {_zeroed("city_hour")}, {_zeroed("station_hour", True)},
+    coalesce(cw.city_weekday_mean_demand, 0) AS city_weekday_mean_demand,
+    coalesce(ci.city_mean_demand, 0) AS city_mean_demand,
+    {_COMFORT} AS comfort_score, {_OUTDOOR} AS outdoor_pleasantness,
+    {_PARKS} AS recreational_accessibility,
+    CAST(l.hour BETWEEN 7 AND 9 AS INT) AS is_morning_rush,
+    CAST(l.hour BETWEEN 17 AND 19 AS INT) AS is_evening_rush
+  FROM lagged l
+  LEFT JOIN st_station s ON l.city = s.city AND l.start_station_id = s.start_station_id
+  LEFT JOIN st_city_hour ch ON l.city = ch.city AND l.hour = ch.hour
+  LEFT JOIN st_city_weekday cw ON l.city = cw.city AND l.weekday = cw.weekday
+  LEFT JOIN st_city ci ON l.city = ci.city
+  LEFT JOIN st_hod t ON l.city = t.city AND l.start_station_id = t.start_station_id
+    AND l.hour = t.hour
+  LEFT JOIN encoding e ON l.city = e.city),
+features AS (
+  SELECT *, CASE WHEN is_morning_rush + is_evening_rush = 0 THEN 0.0
+                 WHEN station_hour_mean_demand > 3 THEN 3.0
+                 ELSE station_hour_mean_demand END AS rush_x_station_hour_mean
+  FROM joined)"""
+
+
 # FE6: attributes that are null become zero; the weather scores stay null.
 _ZERO_IF_NULL = {
     "working_day",
@@ -490,12 +546,7 @@ SELECT city, {_r("avg(demand)", "city_mean_demand")} FROM tpanel GROUP BY 1"""
 {_stat("station_hour", std=True)} FROM tpanel GROUP BY 1, 2, 3"""
     q["stats_station_hod"] = f"""{train} SELECT city, start_station_id, hour,
 {_stat("station_hour", std=True)} FROM tpanel GROUP BY 1, 2, 3"""
-    q["stats_held_out"] = f"""{train},
-early AS (
-  SELECT * FROM tpanel WHERE hour_ts < (SELECT max(hour_ts) FROM tcells) - INTERVAL 7 DAY
-    AND city || start_station_id IN (
-      SELECT city || start_station_id FROM tcells
-      WHERE hour_ts < (SELECT max(hour_ts) FROM tcells) - INTERVAL 7 DAY))
+    q["stats_held_out"] = f"""{train},{_HELD_OUT}
 SELECT city, start_station_id, {_stat("station")} FROM early GROUP BY 1, 2"""
     q["demand_history"] = (
         f"{train} SELECT city, start_station_id, hour_ts, demand FROM tcells"
@@ -552,10 +603,24 @@ FROM scored
 WHERE target_hour_start >= (SELECT max(target_hour_start) FROM labels) - INTERVAL 7 DAY
 GROUP BY 1"""
 
-    q["model_baselines"] = f"""WITH {_training(1, _BUSY)},{_lags("tpanel")}
+    def deviance(mean: str) -> str:
+        mean = f"greatest(CAST({mean} AS DOUBLE), 0.01)"
+        return (
+            f"avg(2 * (pow(demand, 0.7) / (-0.3 * 0.7) - demand * pow({mean}, -0.3) / -0.3 "
+            f"+ pow({mean}, 0.7) / 0.7))"
+        )
+
+    q["model_baselines"] = f"""WITH {_training(1, _BUSY)},{_lags("tpanel")},{_HELD_OUT},
+{_stats(source="early").strip()}
 SELECT count(*) AS n_rows, {_r("avg(demand)", "zero_mae")},
-  {_r("avg(abs(demand - coalesce(l7, 0)))", "lag7_mae")} FROM lagged
+  {_r("avg(abs(demand - coalesce(l7, 0)))", "lag7_mae")},
+  {_r("avg(abs(demand - city_hour_mean_demand))", "city_hour_mae")},
+  {_r(deviance("coalesce(l7, 0)"), "lag7_deviance")},
+  {_r(deviance("city_hour_mean_demand"), "city_hour_deviance")}
+FROM lagged l JOIN st_city_hour ch ON l.city = ch.city AND l.hour = ch.hour
 WHERE hour_ts >= (SELECT max(hour_ts) FROM tpanel) - INTERVAL 7 DAY"""
+    q["future_features"] = f"""{_future(48)}
+SELECT start_station_id, hour_ts, {_matrix_columns()} FROM features"""
 
     # Scoring
     rounded = ", ".join(
@@ -750,6 +815,14 @@ SELECT city_key, count(*) AS rides, count(DISTINCT station_key) AS stations,
 FROM keyed GROUP BY 1"""
 
     # Predictors
+    q["isolated_predictors"] = f"""{scoring},
+made AS (
+  SELECT 'rush' AS model, demand, CASE WHEN hour BETWEEN 7 AND 19 THEN 1.0 ELSE 0.25 END AS p FROM labels
+  UNION ALL SELECT 'const', demand, 1.0 FROM labels)
+SELECT model, count(*) AS n_rows, {_r("avg(abs(demand - p))", "mae")}, CAST(NULL AS VARCHAR) AS raised
+FROM made GROUP BY 1
+UNION ALL SELECT 'noon', NULL, NULL, 'RuntimeError'
+UNION ALL SELECT 'lost', NULL, NULL, 'AnalysisException'"""
     q["predict_constant"] = f"{scoring} SELECT id, 100.0::DOUBLE AS prediction FROM labels"
     q["predict_pandas"] = f"""{scoring}
 SELECT id, CASE WHEN hour BETWEEN 7 AND 19 THEN 1.0 ELSE 0.25 END::DOUBLE AS prediction FROM labels"""

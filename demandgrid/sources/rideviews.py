@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _STATION = {
     "mod8": "user_id % 8",
     "user": "user_id",
     "user_week": "user_id * 10 + (day(ts) - 1) div 7",
-    "busy": "CASE WHEN user_id % 16 = 0 THEN 1 ELSE 0 END",
+    "busy": "CASE WHEN user_id % 3 = 0 THEN 1 ELSE 2 + user_id div 8 END",
 }
 
 
@@ -79,10 +78,9 @@ def sparse_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def busy_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two stations per city that open every eighth hour: one crowded, one quiet, and empty
-    hours in between. All events take part."""
-    gathered = F.col("ts") - F.make_dt_interval(F.lit(0), F.hour("ts") % 8)
-    return rides_from_events(events(spark, sf_dir).withColumn("ts", gathered), "busy")
+    """One station of each city with a third of its rides, and one for every eight users:
+    the panel grows with the users. All events take part, at their own hours."""
+    return rides_from_events(events(spark, sf_dir), "busy")
 
 
 def wide_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
