@@ -37,7 +37,7 @@ from demandgrid.session import shuffle_partitions
 from demandgrid.sources.staging import staged
 
 WIDTH = 16
-CONTAINER = 2_000
+CONTAINER = 500
 #: Equal conversations whose ids differ in the last twelve bits only share a row.
 CHUNK_BITS = 12
 ROUNDS = 32
