@@ -152,17 +152,3 @@ def test_models(spark, small_rides, tmp_path, settings):
         weights = R.feature_importance(model, spark, None)
         assert weights.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
         assert R.feature_importance(model, spark, 10).count() == 10
-
-
-def test_models_beat_zero_and_the_week_before(spark):
-    from demandgrid.plans import catalog as C
-
-    train = C._encoded_features(spark, "/root/testdata/sf0.01")
-    base = R.baseline_errors(train).first()
-    trees, linear = C._gbt(train), C._glm(train)
-    found = R.validation_errors(trees, train).first()
-    assert found.n_rows == base.n_rows
-    # The week before is nearly as good as the noise of the counts allows.
-    assert found.validation_mae < base.lag7_mae < base.zero_mae / 2
-    assert found.scored_mae < base.lag7_mae
-    assert R.validation_errors(linear, train).first().validation_mae < base.zero_mae / 2

@@ -19,7 +19,9 @@ PANEL = {
 }
 QUERIES = {k: q for k, q in entry.queries().items() if k in CATALOG}
 ORACLE = {k: q for k, q in entry.oracle_sql().items() if k in CATALOG}
-WITHOUT_SQL = {"predict_glm", "predict_gbt", "model_validation", "loss_curve", "feature_importance"}
+WITHOUT_SQL = {
+    "predict_glm", "predict_gbt", "predict_future", "model_validation", "loss_curve", "feature_importance",
+}
 
 
 @pytest.fixture(scope="module")
