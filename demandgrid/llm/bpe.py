@@ -4,8 +4,10 @@ Every task keeps a DuckDB connection of its own with the vocabulary and its merg
 (each token as a pair of shorter ones). New words of a batch become rows of byte tokens; a
 recursive query joins the positions of every word with the merge table and contracts the
 leftmost pair of the least rank, until no pair is left. Decoding joins token positions with
-the vocabulary and strings the bytes together by ordered aggregation. Words and decoded runs
-are worked out once each and reused; a task holds at most ``CACHE`` of them.
+the vocabulary and strings the bytes together by ordered aggregation. Pieces and words are
+worked out once each and reused; a task holds about ``CACHE`` of each kind (200 bytes one, as
+words longer than ``LONG`` are not kept) and forgets those it met once. Runs are decoded once
+for each slice of ``SLICE`` characters.
 
 A text is cut at blanks that stand between two other characters; the split pattern never
 matches across those, so each piece can be looked up by itself. Texts with other blanks are
@@ -33,9 +35,11 @@ from pyspark.sql import types as T
 
 from demandgrid.llm.lists import Lists, Places
 
-CACHE = 400_000
-SLICE = 8_000_000
-WORDS_AT_ONCE = 50_000
+CACHE = 250_000
+LONG = 200
+SLICE = 4_000_000
+#: Few enough for the merges' tables to stay in the processor's cache.
+WORDS_AT_ONCE = 20_000
 
 MERGE = """
 WITH RECURSIVE words(word, ids, live) AS (
@@ -49,15 +53,19 @@ WITH RECURSIVE words(word, ids, live) AS (
   FROM words LEFT JOIN (
     SELECT word, min((merged::BIGINT << 32) | pos) AS best
     FROM (SELECT word, unnest(ids[:-2]) AS id, unnest(ids[2:]) AS next_id,
-                 generate_subscripts(ids[2:], 1) AS pos
+                 unnest(range(1, len(ids))) AS pos
           FROM words WHERE live) pairs
     JOIN merges ON id = head AND next_id = tail
     GROUP BY word) USING (word)
   WHERE live)
 SELECT word, ids FROM words WHERE NOT live ORDER BY word
 """
-DECODE = """
-SELECT run, string_agg(octets, '' ORDER BY pos) AS octets
+#: Runs are strung together by place: the first ``PLACES`` tokens have a column each, which is
+#: cheaper than sorting; what longer runs have beyond goes through an ordered aggregate.
+PLACES = 6
+DECODE = f"""
+SELECT run, {" || ".join(f"coalesce(max(octets) FILTER (pos = {k}), '')" for k in range(PLACES))}
+       || coalesce(string_agg(octets, '' ORDER BY pos) FILTER (pos >= {PLACES}), '') AS octets
 FROM places JOIN vocabulary USING (id) GROUP BY run ORDER BY run
 """
 
@@ -68,6 +76,21 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
+def _counted(uses: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    more = np.bincount(at, minlength=n)
+    more[: len(uses)] += uses
+    return more
+
+
+def _often(uses: np.ndarray) -> np.ndarray:
+    """The places used more than once, the most used half of ``CACHE`` of them, in order."""
+    keep = np.flatnonzero(uses > 1)
+    if len(keep) > CACHE // 2:
+        keep = keep[np.argpartition(-uses[keep], CACHE // 2)[: CACHE // 2]]
+        keep.sort()
+    return keep
+
+
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
@@ -81,7 +104,7 @@ class Codec:
             if t[:k] in ranks and t[k:] in ranks
         ]
         head, tail, merged = (pa.array(c, pa.int32()) for c in zip(*pairs or [()] * 3, strict=True))
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB"})
         self._table("merge_rows", pa.table({"head": head, "tail": tail, "merged": merged}))
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merge_rows")
         ids = pa.array(list(ranks.values()), pa.int32())
@@ -97,12 +120,34 @@ class Codec:
 
     def _clear(self) -> None:
         self.fresh: list[str] = []
-        numbers = [0]
-        self.first = Places(self.fresh, numbers, "")
-        self.later = Places(self.fresh, numbers, " ")
+        self.numbers = [0]
+        self.first = Places(self.fresh, self.numbers, "")
+        self.later = Places(self.fresh, self.numbers, " ")
         self.pieces, self.word_ids = Lists(), Lists()
         self.words: dict[str, int] = {}  # places in word_ids
         self.open: list[bool] = []  # pieces with white space at an end
+        self.piece_uses, self.word_uses = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keeps the pieces and words met more than once, half of ``CACHE`` at most, the
+        most used ones, and none that is long."""
+        keep = _often(self.piece_uses)
+        at = np.full(self.pieces.n, -1)
+        at[keep] = np.arange(len(keep))
+        self.pieces = self.pieces.only(keep)
+        self.open = [self.open[k] for k in keep.tolist()]
+        self.piece_uses = np.ones(len(keep), np.int64)
+        self.numbers[0] = len(keep)
+        # Numbers of long pieces stay, as their places do; only their text is let go.
+        self.first.renumber(at.tolist(), LONG)
+        self.later.renumber(at.tolist(), LONG)
+        keep = _often(self.word_uses)
+        at = np.full(self.word_ids.n, -1)
+        at[keep] = np.arange(len(keep))
+        self.word_ids = self.word_ids.only(keep)
+        self.word_uses = np.ones(len(keep), np.int64)
+        place = at.tolist()
+        self.words = {w: place[n] for w, n in self.words.items() if place[n] >= 0 and len(w) <= LONG}
 
     def _learn(self, words: Iterable[str]) -> None:
         """Works out the ids of words that were not met yet."""
@@ -131,6 +176,7 @@ class Codec:
 
     def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        self.word_uses = _counted(self.word_uses, at, self.word_ids.n)
         return self.word_ids.take(at)
 
     def _settle(self) -> None:
@@ -148,7 +194,7 @@ class Codec:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text begins (and the last one ends)."""
         if self.pieces.n > CACHE or self.word_ids.n > CACHE:
-            self._clear()
+            self._forget()
         pieces, whole = [], {}
         for text in texts:
             if not text:
@@ -160,7 +206,7 @@ class Codec:
         for p in self.fresh:
             # The blank in front is a cut only next to characters that aren't white space.
             body = p[1:] if p[:1] == " " else p
-            self.open.append(not body or body[0].isspace() or body[-1].isspace())
+            self.open.append(not body or len(body.strip()) < len(body))
         open_ = np.array(self.open, bool)
         for k, at in enumerate(pieces):
             if len(at) > 1 and open_[at].any():
@@ -168,7 +214,9 @@ class Codec:
                 pieces[k] = at[:0]
         self._settle()
         counts = np.array([len(p) for p in pieces], np.int64)
-        ids, lengths = self.pieces.take(np.concatenate([np.empty(0, np.int64), *pieces]))
+        every = np.concatenate([np.empty(0, np.int64), *pieces])
+        self.piece_uses = _counted(self.piece_uses, every, self.pieces.n)
+        ids, lengths = self.pieces.take(every)
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
         if not whole:
             return ids, ends
@@ -230,24 +278,22 @@ class Codec:
         octets = self.decoded_runs(ids, begins, lengths)
         if len(octets) != len(begins):
             raise ValueError("an id is not in the vocabulary")
-        flat = list(map(self.names.__getitem__, self._at(ids, begins, lengths).tolist()))
-        cut = np.concatenate([[0], np.cumsum(lengths)]).tolist()
-        names = [",".join(flat[a:b]) for a, b in zip(cut, cut[1:], strict=False)]
+        names = list(map(self.names.__getitem__, ids.tolist()))
+        texts = ends.tolist()
         which = which.tolist()
         spans = [which[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
         return (
             [b"".join(map(octets.__getitem__, s)) for s in spans],
-            [",".join(map(names.__getitem__, s)) for s in spans],
+            [",".join(names[a:b]) for a, b in zip(texts, texts[1:], strict=False)],
         )
 
 
-_codecs: dict[tuple[int, str], Codec] = {}
+_codecs: dict[str, Codec] = {}
 
 
 def _codec(shared) -> Codec:  # noqa: ANN001  a broadcast
     """One codec for each Python worker and vocabulary, kept between tasks."""
-    ranks, pattern = shared.value
-    key = (hash(frozenset(ranks.items())), pattern)
+    key, ranks, pattern = shared.value
     if key not in _codecs:
         _codecs.clear()
         _codecs[key] = Codec(ranks, pattern)
@@ -286,7 +332,10 @@ def _added(docs: DataFrame, new: list[tuple[str, T.DataType]], work, *columns: s
 
 
 def _shared(docs: DataFrame, ranks: dict[bytes, int], pattern: str):  # noqa: ANN202
-    return docs.sparkSession.sparkContext.broadcast((ranks, pattern))
+    told = hashlib.sha256(pattern.encode())
+    for token, rank in ranks.items():
+        told.update(b"%d:%d:" % (rank, len(token)) + token)
+    return docs.sparkSession.sparkContext.broadcast((told.hexdigest(), ranks, pattern))
 
 
 def encoded(

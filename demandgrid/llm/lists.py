@@ -17,6 +17,12 @@ class Places(dict):
         self.fresh.append(self.lead + key)
         return at
 
+    def renumber(self, places: list[int], longest: int) -> None:
+        """New numbers by old ones; keys with a negative one, and long keys, are dropped."""
+        kept = [(k, places[n]) for k, n in self.items() if places[n] >= 0 and len(k) <= longest]
+        self.clear()
+        self.update(kept)
+
 
 class Lists:
     """Lists of ids one after the other, numbered from 0, that grow at the end."""
@@ -35,6 +41,13 @@ class Lists:
         self.starts[self.n + 1 : self.n + len(sizes) + 1] = held + np.cumsum(sizes)
         self.n += len(sizes)
 
+    def only(self, places: np.ndarray) -> Lists:
+        """A copy with the lists at some places, numbered anew."""
+        out = Lists(self.flat.dtype.type)
+        ids, lengths = self.take(places)
+        out.append(lengths, ids)
+        return out
+
     def take(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The lists at some places, strung together, and their lengths."""
         lengths = self.starts[places + 1] - self.starts[places]
