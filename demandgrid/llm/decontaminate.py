@@ -37,6 +37,9 @@ SIMILARITY = 0.8
 BLOCK_TOKENS = 4_000_000
 _BYTES_AT_ONCE = 1 << 20
 _TOKENS_AT_ONCE = 1 << 20
+#: Pairs of item and place, and tokens to compare, that are held at a time.
+_PAIRS_AT_ONCE = 1 << 18
+_CELLS_AT_ONCE = 1 << 20
 _FILTER_BITS = 22
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -151,6 +154,9 @@ class Block:
                 same.setdefault(hashes[a:b].tobytes(), []).append(item)
         self.ids = list(same.values())
         self.items = [np.frombuffer(k, np.uint64) for k in same]
+        self.sizes = np.array([len(i) for i in self.items], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.concatenate([np.empty(0, np.uint64), *self.items])
         sizes = sorted({len(i) for i in self.items if len(i) < overlap})
         short = [m for n in sizes for m in _short_masks(n, masks, similarity)]
         self.masks = (*masks, *short)
@@ -168,50 +174,129 @@ class Block:
             bitmap[(seeds >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
             self.filters.append(bitmap)
 
-    def hits(self, hashes: np.ndarray) -> set[tuple[int, int]]:
-        """(item, place in ``hashes`` where the item would begin) of every seed in common."""
-        out: set[tuple[int, int]] = set()
-        for m, seeds, (item, place), bitmap in zip(
-            self.masks, self.seeds, self.where, self.filters, strict=True
-        ):
+    def hits(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of item and place in ``hashes`` where the item would begin, for seeds in
+        common; some come twice.
+
+        Where an item repeats itself, as a table of zeros does, and so does the text, each
+        seed of one meets each of the other. Such an item is laid at every place of the
+        documents it was hit in instead: far fewer than the hits.
+        """
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # mask, window, matches' bounds
+        expected = np.zeros(len(self.items), np.int64)
+        for m, (seeds, bitmap) in enumerate(zip(self.seeds, self.filters, strict=True)):
+            mask = self.masks[m]
             for low in range(0, len(hashes), _TOKENS_AT_ONCE):
-                own = _seeds(hashes[low : low + _TOKENS_AT_ONCE + len(m) - 1], m)
+                own = _seeds(hashes[low : low + _TOKENS_AT_ONCE + len(mask) - 1], mask)
                 maybe = np.flatnonzero(bitmap[(own >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
                 a = np.searchsorted(seeds, own[maybe], "left")
                 n = np.searchsorted(seeds, own[maybe], "right") - a
-                hit = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                begin = np.repeat(maybe, n) + low - place[hit]
-                out.update(zip(item[hit].tolist(), begin.tolist(), strict=True))
-        return out
+                real = n > 0
+                found.append((np.full(int(real.sum()), m), maybe[real] + low, np.stack([a[real], n[real]])))
+        for m in range(len(self.masks)):
+            # Hits by item, from the windows that meet each seed.
+            own = [(w, x) for k, w, x in found if len(k) and k[0] == m]
+            if own:
+                bounds = np.concatenate([x for _, x in own], axis=1)
+                change = np.zeros(len(self.seeds[m]) + 1, np.int64)
+                np.add.at(change, bounds[0], 1)
+                np.add.at(change, bounds[0] + bounds[1], -1)
+                expected += np.bincount(
+                    self.where[m][0], np.cumsum(change)[:-1], minlength=len(self.items)
+                ).astype(np.int64)
+        lengths = np.array([len(i) for i in self.items], np.int64)
+        repeated = expected > 2 * len(hashes) + 2 * lengths if len(found) else expected > 0
+        docs_of: dict[int, set[int]] = {int(i): set() for i in np.flatnonzero(repeated)}
+        for masks, windows, (a, n) in found:
+            if not len(masks):
+                continue
+            item, place = self.where[masks[0]]
+            if docs_of:
+                # Each seed once for each document it is in, however often.
+                docs = np.searchsorted(first, windows, "right") - 1
+                _, once = np.unique(a * len(first) + docs, return_index=True)
+                for k in once.tolist():
+                    own = item[a[k] : a[k] + n[k]]
+                    for i in np.unique(own[repeated[own]]).tolist():
+                        docs_of[i].add(int(docs[k]))
+                keep = ~repeated[item]
+                before = np.concatenate([[0], np.cumsum(keep)])
+                item, place = item[keep], place[keep]
+                a, n = before[a], before[a + n] - before[a]
+            step = max(1, _PAIRS_AT_ONCE // max(1, int(n.max(initial=0))))
+            for k in range(0, len(n), step):
+                cut = slice(k, k + step)
+                many = n[cut]
+                hit = np.repeat(a[cut], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                begin = np.repeat(windows[cut], many) - place[hit]
+                # Windows next to each other lie on one diagonal: it is looked at once.
+                key = np.unique((item[hit] << 40) + (begin + (1 << 39)))
+                if len(key):
+                    yield key >> 40, (key & ((1 << 40) - 1)) - (1 << 39)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for i, docs in docs_of.items():
+            for d in sorted(docs):
+                low, high = int(first[d]) - len(self.items[i]) + 1, int(first[d + 1])
+                for k in range(low, high, _PAIRS_AT_ONCE):
+                    begin = np.arange(k, min(high, k + _PAIRS_AT_ONCE))
+                    held.append((np.full(len(begin), i), begin))
+                    size += len(begin)
+                    if size >= _PAIRS_AT_ONCE:
+                        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                        held, size = [], 0
+        if held:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+    def _laid(self, items, begin, hashes, owner, overlap, similarity):  # noqa: ANN001, ANN202
+        """What agrees where items of one length are laid over the documents: rows of
+        document, item, place of the item, equal tokens, begin and length of the stretch."""
+        length = len(self.items[items[0]])
+        width = min(overlap, length)
+        at = begin[:, None] + np.arange(length)
+        inside = (at >= 0) & (at < len(hashes))
+        at = np.where(inside, at, 0)
+        equal = hashes[at] == self.flat[self.starts[items][:, None] + np.arange(length)]
+        equal &= inside
+        run = np.zeros((len(items), length + 1), np.int32)
+        np.cumsum(equal, axis=1, out=run[:, 1:])
+        good = run[:, width:] - run[:, :-width] >= similarity * width - 1e-9
+        # A stretch lies in one document.
+        doc = owner[at]
+        good &= inside[:, : length - width + 1] & inside[:, width - 1 :]
+        good &= doc[:, : length - width + 1] == doc[:, width - 1 :]
+        row, place = np.nonzero(good)
+        if not len(row):
+            return np.empty((0, 6), np.int64)
+        of = doc[row, place]
+        lead = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (of[1:] != of[:-1])])
+        last = np.r_[lead[1:], len(row)] - 1
+        r, s, e = row[lead], place[lead], place[last] + width
+        return np.stack([of[lead], items[r], begin[r], run[r, e] - run[r, s], begin[r] + s, e - s], axis=1)
 
     def verified(
         self, hashes: np.ndarray, first: np.ndarray, overlap: int, similarity: float
     ) -> dict[tuple[int, int], tuple[int, int, int]]:
-        """The best stretch for each (document, item): (equal tokens, begin, length)."""
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for item, begin in sorted(self.hits(hashes)):
-            own = self.items[item]
-            # An item that begins before a document does belongs to the one its middle is in
-            # and to neighbours as far as they reach; each part is looked at by itself.
-            low, high = max(begin, 0), min(begin + len(own), len(hashes))
-            one = int(np.searchsorted(first, low, "right")) - 1
-            last = int(np.searchsorted(first, high - 1, "right")) - 1
-            for doc in range(one, last + 1):
-                a, b = max(low, int(first[doc])), min(high, int(first[doc + 1]))
-                width = min(overlap, len(own))
-                if b - a < width:
-                    continue
-                equal = hashes[a:b] == own[a - begin : b - begin]
-                run = np.concatenate([[0], np.cumsum(equal)])
-                inside = run[width:] - run[:-width] >= similarity * width - 1e-9
-                if not inside.any():
-                    continue
-                good = np.flatnonzero(inside)
-                s, e = int(good[0]), int(good[-1]) + width
-                found = (int(run[e] - run[s]), a + s - int(first[doc]), e - s)
-                if (doc, item) not in best or found[0] > best[doc, item][0]:
-                    best[doc, item] = found
-        return best
+        """The best stretch for each (document, item): (equal tokens, begin, length). Of equal
+        ones that where the item would begin first."""
+        owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        best = np.empty((0, 6), np.int64)
+        for items, begin in self.hits(hashes, first):
+            found = [best]
+            sizes = self.sizes[items]
+            order = np.argsort(sizes, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(sizes[order])) + 1) if len(order) else []:
+                step = max(1, _CELLS_AT_ONCE // int(sizes[own[0]]))
+                for k in range(0, len(own), step):
+                    part = own[k : k + step]
+                    found.append(self._laid(items[part], begin[part], hashes, owner, overlap, similarity))
+            rows = np.concatenate(found)
+            rows = rows[np.lexsort((rows[:, 2], -rows[:, 3], rows[:, 1], rows[:, 0]))]
+            lead = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)][: len(rows)]
+            best = rows[lead]
+        return {
+            (d, i): (n, s - int(first[d]), w) for d, i, _, n, s, w in best.tolist()
+        }
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, size: int) -> Iterator[list]:
