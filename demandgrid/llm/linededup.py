@@ -9,7 +9,8 @@ everywhere but in the largest id that holds it; every other line stays in its pl
    into a second one, of what was seen twice.
 2. All lines are tested against the second filter where they are read. Only suspected
    repeats, with their whole key, are shuffled. Their exact counts decide, and the largest id
-   of each confirmed key is the one that keeps it.
+   of each confirmed key is the one that keeps it. Counts are taken before the shuffle, and
+   the lines of very common keys are not shuffled by key.
 3. Each row gets the keys that it loses, and its text is put together again.
 
 The filters are sized by the number of lines, up to ``MAX_BITS``. Only the second one is sent
@@ -44,6 +45,8 @@ MAX_BITS = 1 << 31
 MIN_BITS = 1 << 20
 SEGMENT_BITS = 1 << 18
 PROBES = 4
+#: A key with more than one in so many suspected lines is common.
+HOT_SHARE = 1000
 
 
 def line_key(line: bytes) -> bytes:
@@ -192,16 +195,25 @@ def lost_keys(
         ),
         "suspected_lines",
     )
-    confirmed = (
+    confirmed = staged(
         suspects.groupBy("key")
         .agg(F.count("*").alias("n"), F.max("id").alias("keeper"))
         .filter(F.col("n") >= min_docs)
         .filter("keeper IS NOT NULL")
-        .select("key", "keeper")
+        .select(F.sha2("key", 256).alias("digest"), "n", "keeper"),
+        "confirmed_lines",
+    )
+    # Less than HOT_SHARE keys can have more than their share of all suspected lines. They go
+    # to the tasks, and their lines stay where they are; the others meet by their digest.
+    hot = F.col("n") * HOT_SHARE > suspects.count()
+    common = F.broadcast(confirmed.filter(hot).select("digest", "keeper"))
+    rest = confirmed.filter(~hot).select("digest", "keeper")
+    suspects = suspects.withColumn("digest", F.sha2("key", 256))
+    found = suspects.join(common, "digest").unionByName(
+        suspects.join(common.select("digest"), "digest", "left_anti").join(rest, "digest")
     )
     return (
-        suspects.join(confirmed, "key")
-        .filter(F.col("id").isNull() | (F.col("id") < F.col("keeper")))
+        found.filter(F.col("id").isNull() | (F.col("id") < F.col("keeper")))
         .groupBy("id", "text_hash")
         .agg(F.collect_set("key").alias("lost"))
     )
