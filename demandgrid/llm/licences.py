@@ -50,8 +50,6 @@ REACH = 24
 #: A passage with fewer pairs doesn't count as the shorter side.
 LEAST_PAIRS = 2
 UNKNOWN = "unknown"
-#: Stems of the longer templates. Nothing is filtered by them.
-ANCHOR = r"(?i)licen[cs]|copyright|warrant|redistribut|permission|rights reserved|public domain|spdx"
 # The usual short notices of public licences.
 TEMPLATES = {
     "mit": (
@@ -315,31 +313,120 @@ def _overlap(pairs: str, family: str, templates: list[tuple[str, list[str]]]) ->
     return overlap
 
 
-def _gate(model: LicenceModel) -> Column:
-    """False only where no family can reach the threshold.
+def _lead(model: LicenceModel, group: list[int]) -> tuple[float, list[float]]:
+    """How far the families of a group lead the class unknown at most: by the intercept, and
+    by each bin."""
+    unknown = FAMILIES.index(UNKNOWN)
+    bins = [max(model.weights[k][b] - model.weights[unknown][b] for k in group) for b in range(BINS)]
+    return max(model.intercepts[k] - model.intercepts[unknown] for k in group), bins
+
+
+def _others() -> list[int]:
+    return [k for k, f in enumerate(FAMILIES) if f != UNKNOWN]
+
+
+def _least(model: LicenceModel) -> float:
+    """The lead that a family at the threshold has.
 
     A family of probability p leaves unknown 1 - p at most, so its logit leads that of unknown
-    by log(p / (1 - p)) times the temperature or more. No family of a group leads by more than
-    the sum of the bins' largest leads in the group: all families first, then a few at a time.
-    The small slack is for the order of the sums.
+    by log(p / (1 - p)) times the temperature or more. The small slack is for the order of
+    the sums.
     """
-    unknown = FAMILIES.index(UNKNOWN)
-    others = [k for k in range(len(FAMILIES)) if k != unknown]
     p = min(max(model.threshold, 1e-12), 1 - 1e-12)
-    least = F.lit(model.temperature * math.log(p / (1 - p)) - 1e-6)
+    return model.temperature * math.log(p / (1 - p)) - 1e-6
+
+
+def _gate(model: LicenceModel) -> Column:
+    """False only where no family can reach the threshold.
+
+    No family of a group leads by more than the sum of the bins' largest leads in the group:
+    all families first, then a few at a time.
+    """
+    least = F.lit(_least(model))
 
     def reached(group: list[int]) -> Column:
-        lead = tuple(
-            max(model.weights[k][b] - model.weights[unknown][b] for k in group) for b in range(BINS)
-        )
-        first = max(model.intercepts[k] - model.intercepts[unknown] for k in group)
-        table = _literal(lead)
+        first, lead = _lead(model, group)
+        table = _literal(tuple(lead))
         return F.aggregate("__l_b", F.lit(first), lambda a, b: a + F.get(table, b)) >= least
 
+    others = _others()
     groups = [reached(others[k : k + GROUP]) for k in range(0, len(others), GROUP)]
     return reached(others) & reduce(or_, groups)
 
 
+def _possible(docs: DataFrame, model: LicenceModel, id_col: str, text_col: str) -> DataFrame:
+    """Those of ``paragraphs`` that may reach the threshold, by bounds from the lines alone.
+
+    Each line is summed once: its lead, and the part of it from bins that lead. The grams of a
+    line end are those of its two lines, or fewer, and one pair across it, and count once. So
+    its lead is at most that of one line with what leads in the other and in the pair. Of a
+    line that is longer than ``REACH``, a part of which stands in the passage, only what leads
+    is a bound.
+    """
+    first, lead = _lead(model, _others())
+    every, leading = _literal(tuple(lead)), _literal(tuple(max(x, 0.0) for x in lead))
+    least = _least(model) - first
+
+    def bin_of(gram: Column) -> Column:
+        return F.pmod(F.xxhash64(gram), F.lit(BINS)).cast("int")
+
+    def binned(w: Column) -> Column:
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        pairs = F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat_ws(" ", a, b))
+        bins = F.transform(F.array_distinct(F.concat(w, pairs)), bin_of)
+        return F.struct(w.alias("w"), bins.alias("bins"))
+
+    def summed(t: Column) -> Column:
+        def of(table: Column) -> Column:
+            return F.aggregate(t["bins"], F.lit(0.0), lambda a, b: a + F.get(table, b))
+
+        return F.struct(t["w"].alias("w"), of(every).alias("lead"), of(leading).alias("most"))
+
+    def bounded(t: Column) -> Column:
+        short = F.size(t["w"]) <= REACH
+        bound = F.when(short, t["lead"]).otherwise(t["most"])
+        return F.struct(t["w"].alias("w"), t["lead"].alias("lead"), t["most"].alias("most"), bound.alias("bound"))
+
+    def judged(t: Column, i: Column) -> Column:
+        after = F.get("__l_lines", i + 1)
+        whole = (F.size(t["w"]) > 0) & (F.size(after["w"]) > 0)
+        across = F.concat_ws(" ", F.element_at(t["w"], -1), F.get(after["w"], F.lit(0)))
+        sides = F.least(t["bound"] + after["most"], t["most"] + after["bound"])
+        # The pair is hashed for those that are close alone.
+        near = whole & (sides + max(max(lead), 0.0) >= least)
+        end = F.when(near, sides + F.get(leading, bin_of(across)) >= least).otherwise(F.lit(False))
+        return F.struct(
+            i.alias("place"),
+            t["w"].alias("own"),
+            after["w"].alias("next"),
+            ((F.size(t["w"]) > 0) & (t["lead"] >= least)).alias("alone"),
+            end.alias("end"),
+        )
+
+    lines = docs.select(id_col, F.transform(F.split(_plain(F.col(text_col)), "\n"), _words).alias("__l_lines"))
+    for step in (binned, summed, bounded):
+        made = _worked_out(lines.withColumnRenamed("__l_lines", "__l_old"), {"__l_lines": F.transform("__l_old", step)})
+        lines = made.drop("__l_old")
+    near = _worked_out(lines, {"__l_near": F.filter(F.transform("__l_lines", judged), lambda c: c["alone"] | c["end"])})
+    near = near.select(id_col, F.explode("__l_near").alias("p"))
+    own, after = F.col("p.own"), F.col("p.next")
+    tail = F.slice(own, F.greatest(F.size(own) - REACH + 1, F.lit(1)), F.lit(REACH))
+    none = F.lit(None).cast("array<string>")
+    alone = F.struct(own.alias("w"), none.alias("own"), none.alias("next"))
+    end = F.struct(F.concat(tail, F.slice(after, 1, REACH)).alias("w"), own.alias("own"), after.alias("next"))
+    units = F.concat(
+        F.when(F.col("p.alone"), F.array(alone)).otherwise(F.slice(F.array(alone), 1, 0)),
+        F.when(F.col("p.end"), F.array(end)).otherwise(F.slice(F.array(end), 1, 0)),
+    )
+    return near.select(id_col, F.col("p.place").alias("place"), F.explode(units).alias("u")).select(
+        id_col,
+        "place",
+        F.col("u.w").alias("__l_w"),
+        F.col("u.own").alias("__l_own"),
+        F.col("u.next").alias("__l_next"),
+    )
+
+
 def _worked_out(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Adds columns behind a generator, so that no later filter repeats them below itself."""
     row = F.explode_outer(F.array(F.struct(*(c.alias(n) for n, c in columns.items()))))
@@ -350,7 +437,7 @@ def scanned(
     docs: DataFrame, model: LicenceModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(id, place, family, probability, overlap) of every line with a likely family."""
-    binned = _binned(paragraphs(docs, id_col, text_col)).drop("__l_2").withColumnRenamed("__l_b", "__l_h")
+    binned = _binned(_possible(docs, model, id_col, text_col)).drop("__l_2").withColumnRenamed("__l_b", "__l_h")
     lines = _worked_out(binned, {"__l_b": F.col("__l_h")}).drop("__l_h").filter(_gate(model))
 
     def logit(k: int) -> Column:

@@ -296,11 +296,7 @@ def test_secrets_extra_columns_and_empty_table(spark, network):
     assert secrets.findings(docs.limit(0), network).count() == 0
 
 
-def test_every_template_has_an_anchor_and_every_statement_is_found(spark):
-    for templates in licences.TEMPLATES.values():
-        for t in templates:
-            words = re.search(licences.ANCHOR, t, re.I)
-            assert words, t
+def test_every_statement_is_found(spark):
     model = licences.fit(docs_of(spark, ["plain words\nof a text", None, ""]))
     held = [x for x in licences.made_statements(6, seed=44)]
     rows = licences.scanned(docs_of(spark, [line for line, _ in held]), model).collect()
@@ -370,15 +366,18 @@ def test_statements_without_stems_and_the_gate(spark, monkeypatch):
         "Creative Commons Attribution 4.0 International": "cc-by",
         "Apache-2.0": "apache",
     }
-    assert not any(re.search(licences.ANCHOR, t) for t in texts)
     rng = random.Random(12)
     words = " ".join([*texts, *(t for ts in licences.TEMPLATES.values() for t in ts)]).split() + ["ba", "er", "th"] * 40
-    made = [" ".join(rng.choices(words, k=rng.randint(1, 12))) for _ in range(300)]
+    made = [" ".join(rng.choices(words, k=rng.randint(1, 12))) for _ in range(200)]
+    made += ["\n".join(" ".join(rng.choices(words, k=rng.choice([0, 3, 9, 30, 60]))) for _ in range(5)) for _ in range(150)]
+    wrapped = [t for ts in licences.TEMPLATES.values() for t in ts if len(t.split()) > 7]
+    made += [t.replace(" ", "\n", 4).replace("\n", " ", 3) for t in wrapped]
     docs = docs_of(spark, [*texts, *made])
     model = licences.fit(docs_of(spark, ["plain words\nof a text", None, ""]))
     rows = licences.scanned(docs, model).collect()
     got = {(r.doc_id, r.family) for r in rows}
     assert [t for i, (t, f) in enumerate(texts.items()) if (i, f) not in got] == []
     monkeypatch.setattr(licences, "_gate", lambda model: F.lit(True))
+    monkeypatch.setattr(licences, "_possible", lambda docs, model, *columns: licences.paragraphs(docs, *columns))
     every = licences.scanned(docs, model).collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, every))
