@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from demandgrid.llm.lists import Lists, Places
+from demandgrid.llm.lists import Lists, Places, counted, often
 
 CACHE = 250_000
 LONG = 200
@@ -76,21 +76,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-def _counted(uses: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    more = np.bincount(at, minlength=n)
-    more[: len(uses)] += uses
-    return more
-
-
-def _often(uses: np.ndarray) -> np.ndarray:
-    """The places used more than once, the most used half of ``CACHE`` of them, in order."""
-    keep = np.flatnonzero(uses > 1)
-    if len(keep) > CACHE // 2:
-        keep = keep[np.argpartition(-uses[keep], CACHE // 2)[: CACHE // 2]]
-        keep.sort()
-    return keep
-
-
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
@@ -131,23 +116,16 @@ class Codec:
     def _forget(self) -> None:
         """Keeps the pieces and words met more than once, half of ``CACHE`` at most, the
         most used ones, and none that is long."""
-        keep = _often(self.piece_uses)
-        at = np.full(self.pieces.n, -1)
-        at[keep] = np.arange(len(keep))
-        self.pieces = self.pieces.only(keep)
+        keep, at = often(self.piece_uses, CACHE // 2)
+        self.pieces, self.piece_uses = self.pieces.only(keep), np.ones(len(keep), np.int64)
         self.open = [self.open[k] for k in keep.tolist()]
-        self.piece_uses = np.ones(len(keep), np.int64)
         self.numbers[0] = len(keep)
-        # Numbers of long pieces stay, as their places do; only their text is let go.
-        self.first.renumber(at.tolist(), LONG)
-        self.later.renumber(at.tolist(), LONG)
-        keep = _often(self.word_uses)
-        at = np.full(self.word_ids.n, -1)
-        at[keep] = np.arange(len(keep))
-        self.word_ids = self.word_ids.only(keep)
-        self.word_uses = np.ones(len(keep), np.int64)
-        place = at.tolist()
-        self.words = {w: place[n] for w, n in self.words.items() if place[n] >= 0 and len(w) <= LONG}
+        # Places of long pieces stay; only their text is let go.
+        self.first.renumber(at, LONG)
+        self.later.renumber(at, LONG)
+        keep, at = often(self.word_uses, CACHE // 2)
+        self.word_ids, self.word_uses = self.word_ids.only(keep), np.ones(len(keep), np.int64)
+        self.words = {w: at[n] for w, n in self.words.items() if at[n] >= 0 and len(w) <= LONG}
 
     def _learn(self, words: Iterable[str]) -> None:
         """Works out the ids of words that were not met yet."""
@@ -176,7 +154,7 @@ class Codec:
 
     def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        self.word_uses = _counted(self.word_uses, at, self.word_ids.n)
+        self.word_uses = counted(self.word_uses, at, self.word_ids.n)
         return self.word_ids.take(at)
 
     def _settle(self) -> None:
@@ -215,15 +193,17 @@ class Codec:
         self._settle()
         counts = np.array([len(p) for p in pieces], np.int64)
         every = np.concatenate([np.empty(0, np.int64), *pieces])
-        self.piece_uses = _counted(self.piece_uses, every, self.pieces.n)
+        self.piece_uses = counted(self.piece_uses, every, self.pieces.n)
         ids, lengths = self.pieces.take(every)
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])]
         if not whole:
             return ids, ends
         self._learn(chain.from_iterable(whole.values()))
         out = [ids[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-        for k, words in whole.items():
-            out[k] = self._ids_of(words)[0]
+        ids, lengths = self._ids_of(list(chain.from_iterable(whole.values())))
+        cuts = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, whole.values())])]
+        for k, a, b in zip(whole, cuts, cuts[1:], strict=False):
+            out[k] = ids[a:b]
         return np.concatenate(out), np.cumsum([0, *map(len, out)])
 
     def runs(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:

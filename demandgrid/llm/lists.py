@@ -5,6 +5,25 @@ from __future__ import annotations
 import numpy as np
 
 
+def counted(uses: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """Uses of ``n`` places, with those of ``at`` added."""
+    more = np.bincount(at, minlength=n)
+    more[: len(uses)] += uses
+    return more
+
+
+def often(uses: np.ndarray, most: int) -> tuple[np.ndarray, list[int]]:
+    """The places used more than once, the ``most`` used ones of them, in order; and for every
+    place its number among these, or -1."""
+    keep = np.flatnonzero(uses > 1)
+    if len(keep) > most:
+        keep = keep[np.argpartition(-uses[keep], most)[:most]]
+        keep.sort()
+    at = np.full(len(uses), -1)
+    at[keep] = np.arange(len(keep))
+    return keep, at.tolist()
+
+
 class Places(dict):
     """Numbers new keys in the order they come, and puts them into ``fresh`` after ``lead``."""
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from demandgrid.llm.lists import Lists, Places
+from demandgrid.llm.lists import Lists, counted, often
 from demandgrid.session import shuffle_partitions
 from demandgrid.sources.staging import staged
 
@@ -42,7 +42,8 @@ MAGIC = b"DACTOK01"
 CHUNK_BITS = 8
 BLOCK = 512
 FILE_TOKENS = 16_000_000
-CACHE = 700_000
+CACHE = 600_000
+LONG = 200
 SLICE_BYTES = 8_000_000
 
 
@@ -143,6 +144,82 @@ class TokenFile:
         return int(self.levels.at([start + place])[0])
 
 
+class StoredTokens:
+    """A token file that stays where it is: any tokens are read by their offsets, a few bytes
+    for each level, whatever the length of the file."""
+
+    def __init__(self, file: pa.NativeFile) -> None:
+        self.file = file
+        if self._read(0, 8) != MAGIC:
+            raise ValueError("not a token file")
+        self.n_docs, self.n, levels = np.frombuffer(self._read(8, 24), "<i8").tolist()
+        at = 32 + 8 * (self.n_docs + 1) + 9 * self.n_docs
+        self.levels: list[list[int]] = []  # where chunks, bitmap and directory begin
+        for _ in range(levels):
+            places = []
+            for width in (1, 1, 8):
+                n = int(np.frombuffer(self._read(at, 8), "<i8")[0])
+                places.append(at + 8)
+                at += 8 + width * n
+            self.levels.append(places)
+
+    def _read(self, at: int, n: int) -> bytes:
+        self.file.seek(at)
+        return self.file.read(n)
+
+    def span(self, document: int) -> tuple[int, int]:
+        """Where a document's tokens begin and end."""
+        if not 0 <= document < self.n_docs:
+            raise IndexError("no such document")
+        begin, end = np.frombuffer(self._read(32 + 8 * document, 16), "<i8").tolist()
+        return begin, end
+
+    def ids(self, begin: int, end: int) -> np.ndarray:
+        """The tokens from one place to another."""
+        if not 0 <= begin <= end <= self.n:
+            raise IndexError("no such token")
+        out = np.zeros(end - begin, np.uint32)
+        open_ = np.arange(end - begin)
+        for level, (chunks, bitmap, directory) in enumerate(self.levels):
+            if begin == end:
+                break
+            own = np.frombuffer(self._read(chunks + begin, end - begin), np.uint8)
+            out[open_] |= own.astype(np.uint32) << np.uint32(level * CHUNK_BITS)
+            block = begin // BLOCK
+            first = block * BLOCK
+            octets = np.frombuffer(self._read(bitmap + first // 8, (end + 7) // 8 - first // 8), np.uint8)
+            on = np.unpackbits(octets, bitorder="little")[: end - first].astype(bool)
+            rank = int(np.frombuffer(self._read(directory + 8 * block, 8), "<i8")[0])
+            open_ = open_[on[begin - first :]]
+            begin = rank + int(on[: begin - first].sum())
+            end = begin + len(open_)
+        return out
+
+
+class _Runs(dict):
+    """Numbers runs in the order they come. Runs of ASCII that differ in case share one."""
+
+    def __init__(self, fresh: list[bytes], lowers: bool) -> None:
+        self.fresh, self.lowers, self.n = fresh, lowers, 0
+
+    def __missing__(self, key: bytes) -> int:
+        # Before the library has composed a letter and its marks, its case must stay.
+        low = key.lower() if self.lowers and key.isascii() else key
+        if low != key:
+            self[key] = at = self[low]
+            return at
+        self[key] = at = self.n
+        self.n += 1
+        self.fresh.append(key)
+        return at
+
+    def renumber(self, places: list[int]) -> None:
+        """New numbers by old ones; keys with a negative one, and long keys, are dropped."""
+        kept = [(k, places[n]) for k, n in self.items() if places[n] >= 0 and len(k) <= LONG]
+        self.clear()
+        self.update(kept)
+
+
 class WordTokenizer:
     """Texts to ids; every run between ASCII white space is looked up or encoded once.
 
@@ -159,9 +236,20 @@ class WordTokenizer:
 
     def clear(self) -> None:
         self.fresh: list[bytes] = []
-        self.places = Places(self.fresh, [0], b"")
+        self.places = _Runs(self.fresh, self.lowers)
         self.runs, self.parts = Lists(np.uint32), Lists(np.uint32)
         self.known: dict[bytes, int] = {}  # places in parts
+        self.run_uses, self.part_uses = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keeps the runs and parts met more than once, half of ``CACHE`` at most."""
+        keep, at = often(self.run_uses, CACHE // 2)
+        self.runs, self.run_uses = self.runs.only(keep), np.ones(len(keep), np.int64)
+        self.places.renumber(at)
+        self.places.n = len(keep)
+        keep, at = often(self.part_uses, CACHE // 2)
+        self.parts, self.part_uses = self.parts.only(keep), np.ones(len(keep), np.int64)
+        self.known = {k: at[n] for k, n in self.known.items() if at[n] >= 0 and len(k) <= LONG}
 
     def _settle(self) -> None:
         """Works out the runs that came up since the last time."""
@@ -190,6 +278,7 @@ class WordTokenizer:
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         self.parts.append(lengths, flat)
         at = np.fromiter(map(self.known.__getitem__, split), np.int64, len(split))
+        self.part_uses = counted(self.part_uses, at, self.parts.n)
         ids, lengths = self.parts.take(at)
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *sizes])]
         self.runs.append(np.diff(ends), ids)
@@ -198,22 +287,17 @@ class WordTokenizer:
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids with the end id after each text, and where each text begins."""
         if self.runs.n > CACHE or self.parts.n > CACHE:
-            self.clear()
+            self._forget()
         at: list[np.ndarray] = [np.empty(0, np.int64)]
         for text in texts:
             # bytes.split cuts at blanks and the controls 9 to 13 alone.
-            raw = (text or "").encode()
-            if not self.lowers:
-                own = raw.split()
-            elif raw.isascii():
-                own = raw.lower().split()
-            else:
-                # Before the library has composed a letter and its marks, its case must stay.
-                own = [r.lower() if r.isascii() else r for r in raw.split()]
+            own = (text or "").encode().split()
             at.append(np.fromiter(map(self.places.__getitem__, own), np.int64, len(own)))
         self._settle()
         counts = np.cumsum([len(a) for a in at])
-        ids, lengths = self.runs.take(np.concatenate(at))
+        every = np.concatenate(at)
+        self.run_uses = counted(self.run_uses, every, self.runs.n)
+        ids, lengths = self.runs.take(every)
         cuts = np.concatenate([[0], np.cumsum(lengths)])[counts]
         ids = np.insert(ids, cuts[1:], np.uint32(end_id))
         return ids, cuts + np.arange(len(cuts))
@@ -341,6 +425,10 @@ def _read(folder: str):
                     found = TokenFile(file.read())
                 ids = found.levels.all().astype("<u4")
                 ends = found.starts
+                # First, middle and last token of each document, by the directories.
+                sample = np.concatenate([ends[:-1], (ends[:-1] + ends[1:]) // 2, ends[1:] - 1])
+                if (found.levels.at(sample) != ids[sample]).any():
+                    raise ValueError(f"{name}: the directories and the codes disagree")
                 raw, cuts = ids.tobytes(), (4 * ends).tolist()
                 crc = [zlib.crc32(raw[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(

@@ -168,6 +168,7 @@ def test_bpe_equals_the_library(spark, ranks, encoding):
 
 def test_bpe_small_caches_unknown_ids_and_empty_table(spark, ranks, encoding, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 3)
+    monkeypatch.setattr(bpe, "LONG", 4)
     codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
     for _ in range(3):
         for text in TEXTS:
@@ -213,6 +214,12 @@ def test_token_files_equal_the_library(spark, tmp_path, per_file):
     read = tokenfiles.TokenFile(one.read_bytes())
     whole = read.levels.all()
     assert [read.token(0, k) for k in range(int(read.starts[1]))] == whole[: read.starts[1]].tolist()
+    with one.open("rb") as file:
+        stored = tokenfiles.StoredTokens(file)
+        assert stored.span(0) == (0, int(read.starts[1])) and stored.n == len(whole)
+        for a in range(0, stored.n + 1, max(1, stored.n // 40)):
+            for b in (a, min(a + 1, stored.n), min(a + 700, stored.n), stored.n):
+                assert stored.ids(a, b).tolist() == whole[a:b].tolist()
 
 
 def test_token_files_of_an_empty_table(spark, tmp_path):
