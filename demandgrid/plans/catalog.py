@@ -519,7 +519,7 @@ def future_features(spark: SparkSession, d: str) -> DataFrame:
     """What the model sees of the hours after the last ride."""
     tr = P.training_rides(busy_rides(spark, d), MODEL_SPEC)
     art = P.build_artifacts(tr, MODEL_SPEC)
-    targets = FU.future_targets(*FU.station_hours_ahead(tr, MODEL_SPEC), scope=tr.scope)
+    targets = FU.future_targets(*FU.station_hours_ahead(tr), scope=tr.scope)
     made = encode_city(P.create_features(targets, art), art.city_encoding, 0, art.scope)
     return rounded(P.feature_matrix(made, ["start_station_id", "hour_ts"]))
 

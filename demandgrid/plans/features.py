@@ -21,11 +21,7 @@ from demandgrid.operators.cities import (
     encode_city,
     keep_major_cities,
 )
-from demandgrid.operators.dims import (
-    first_non_null,
-    first_row_per_city_hour,
-    hour_then_order,
-)
+from demandgrid.operators.dims import attributed_cells, first_row_per_city_hour
 from demandgrid.sources.staging import staged
 from demandgrid.schema import (
     CELL_KEY,
@@ -98,29 +94,33 @@ class Artifacts:
 
 @dataclass(frozen=True)
 class TrainingRides:
-    """Rides of the major cities, keyed, with their demand cells."""
+    """The demand cells of the major cities, with the first value of every attribute."""
 
-    keyed: DataFrame
-    cells: DataFrame
+    attributed: DataFrame
     cities: DataFrame
     scope: CityScope
 
+    @property
+    def cells(self) -> DataFrame:
+        return self.attributed.select(*CELL_KEY, "demand")
+
 
 def feature_keys(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(_TO_FEATURE_KEY)
 
 
 def training_rides(rides: DataFrame, spec: FeatureSpec) -> TrainingRides:
-    """Key the rides and write their demand cells.
+    """Key the rides, read them once, and write their cells.
 
-    The attributes of stations and city-hours are reduced in passes of their own. Statistics, history, grid and the list of major cities are derived from the cells. A
-    ride without a city belongs to no major city.
+    Statistics, history, grid, the attributes of stations and city-hours and the list of
+    major cities are derived from the cells. A ride without a city belongs to no major city.
     """
     keyed = D.keyed_rides(rides.where(F.col("city").isNotNull()))
-    cells = staged(D.demand_cells(keyed), "cells")
-    cities = staged(ST.city_spans(feature_keys(cells)), "cities")
+    columns = present([*STATION_COLUMNS, *WEATHER_COLUMNS, "holiday", "working_day"], keyed.columns)
+    cells = staged(attributed_cells(keyed, columns, spec.order_col), "cells")
+    cities = staged(ST.city_spans(feature_keys(cells.select(*CELL_KEY, "demand"))), "cities")
     scope = city_scope(cities, spec.min_rides)
-    kept = [keep_major_cities(df, cities, scope, spec.min_rides) for df in (keyed, cells, cities)]
+    kept = [keep_major_cities(df, cities, scope, spec.min_rides) for df in (cells, cities)]
     return TrainingRides(*kept, scope)
 
 
@@ -134,65 +134,35 @@ def training_grid(tr: TrainingRides) -> DataFrame:
     return feature_keys(G.zero_filled(tr.cells, G.full_windows(tr.cells, bounds)))
 
 
-def _own(tr: TrainingRides, columns: list[str], spec: FeatureSpec) -> tuple[DataFrame, str]:
-    """Keyed rides with the named attributes and an order column."""
-    order = spec.order_col or "_row_order"
-    keyed = tr.keyed
-    if order not in keyed.columns:
-        order = "_row_order"
-        keyed = keyed.withColumn(order, F.monotonically_increasing_id())
-    return keyed.select(*CELL_KEY, *columns, order), order
-
-
-def station_attributes(tr: TrainingRides, columns: list[str], spec: FeatureSpec) -> DataFrame:
-    """First non-null value per station, by hour and then by row order.
-
-    Rides are reduced to stations before the shuffle. An order column that is not an
-    integer cannot be combined with the hour; the rides are reduced to cells first then.
-    """
-    own, order = _own(tr, columns, spec)
-    combined = hour_then_order(own, "target_hour_start", order)
-    if combined is None:
-        cells = first_non_null(own, CELL_KEY, columns, order)
-        return feature_keys(first_non_null(cells, STATION_KEY, columns, "target_hour_start"))
-    ordered = own.withColumn("_order", combined)
-    return feature_keys(first_non_null(ordered, STATION_KEY, columns, "_order"))
+def station_attributes(tr: TrainingRides, columns: list[str]) -> DataFrame:
+    """First non-null value per station, by hour and then by row order."""
+    firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("target_hour_start"))).alias(c) for c in columns]
+    return feature_keys(tr.attributed.groupBy(*STATION_KEY).agg(*firsts))
 
 
-def city_hour_attributes(tr: TrainingRides, columns: list[str], spec: FeatureSpec) -> DataFrame:
+def city_hour_attributes(tr: TrainingRides, columns: list[str]) -> DataFrame:
     """Values of one cell per city and hour, that of the smallest station id; within the
-    cell the first non-null value in row order.
-
-    When the city-hours are few enough to send to every task, only the rides of those
-    cells are kept and nothing else is shuffled. Otherwise all rides are reduced to cells.
-    """
-    own, order = _own(tr, columns, spec)
-    city_hour = ["city_key", "target_hour_start"]
-    firsts = tr.cells.groupBy(*city_hour).agg(F.min("station_key").alias("station_key"))
-    if tr.scope.fits():
-        few = own.join(F.broadcast(firsts), CELL_KEY, "left_semi")
-        return feature_keys(first_non_null(few, city_hour, columns, order))
-    cells = feature_keys(first_non_null(own, CELL_KEY, columns, order))
-    return first_row_per_city_hour(cells, columns)
+    cell the first non-null value in row order."""
+    return first_row_per_city_hour(feature_keys(tr.attributed), columns)
 
 
 def training_panel(tr: TrainingRides, spec: FeatureSpec) -> DataFrame:
     """Every station and hour of each major city's period: demand, calendar, attributes."""
-    return with_panel_attributes(training_grid(tr), tr, spec)
+    return with_panel_attributes(training_grid(tr), tr)
 
 
-def with_panel_attributes(panel: DataFrame, tr: TrainingRides, spec: FeatureSpec) -> DataFrame:
-    have = tr.keyed.columns
+def with_panel_attributes(panel: DataFrame, tr: TrainingRides) -> DataFrame:
+    have = tr.attributed.columns
     meta_columns = present(STATION_COLUMNS, have)
     hour_columns = [*present(WEATHER_COLUMNS, have), *present(["holiday", "working_day"], have)]
     ts = F.col("hour_ts")
     out = panel.withColumns({"hour": F.hour(ts), "weekday": K.weekday(ts)})
     out = out.withColumn("weekend", K.is_weekend(F.col("weekday")))
     if meta_columns:
-        meta = station_attributes(tr, meta_columns, spec)
+        meta = station_attributes(tr, meta_columns)
         out = out.join(meta, FEATURE_STATION, "left")
     if hour_columns:
-        hours = city_hour_attributes(tr, hour_columns, spec)
+        hours = city_hour_attributes(tr, hour_columns)
         out = out.join(tr.scope.small(hours), ["city", "hour_ts"], "left")
     defaults = {"holiday": 0, "working_day": 1}
     return out.withColumns(
@@ -290,7 +260,7 @@ def training_features(tr: TrainingRides, art: Artifacts, spec: FeatureSpec) -> D
     panel = H.with_dense_lags(training_grid(tr))
     if spec.station_hour_key == "hour_ts":
         panel = panel.withColumns(own_hour_stats(F.col("demand")))
-    df = with_stats(with_panel_attributes(panel, tr, spec), art)
+    df = with_stats(with_panel_attributes(panel, tr), art)
     return _with_expressions(zero_fill_features(df))
 
 

@@ -15,7 +15,12 @@ from demandgrid.operators import grid as G
 from demandgrid.operators import sampling as S
 from demandgrid.operators.cities import CityScope, city_scope
 from demandgrid.operators.contracts import assert_unique
-from demandgrid.operators.dims import city_hour_dim, first_non_null, station_dim
+from demandgrid.operators.dims import (
+    cells_with_attributes,
+    city_hour_dim_of_cells,
+    first_non_null,
+    station_dim_of_cells,
+)
 from demandgrid.operators.ordering import dense_ids
 from demandgrid.sources.staging import staged
 from demandgrid.schema import (
@@ -167,17 +172,20 @@ def panel_rows(cells: DataFrame, spec: PanelSpec) -> DataFrame:
 def station_hour_panel(rides: DataFrame, spec: PanelSpec | None = None) -> DataFrame:
     """All columns of targets and labels, plus the internal keys.
 
-    The demand cells are written once; grid, windows and ids start there. Rows are numbered
+    The rides are read once: their demand cells, with the first value of every attribute, are
+    written, and grid, windows, ids, stations and city-hours start there. Rows are numbered
     while they are still narrow. The station table has the partitioning of the rows, so
     attaching it moves only the table. The city-hour table is broadcast when the counted
     hours of all cities are few enough, and joined through a shuffle otherwise.
     """
     spec = spec or PanelSpec()
     keyed = spec.key(rides)
-    cells = staged(D.demand_cells(keyed), "cells")
+    attributed = cells_with_attributes(keyed, spec.order_col, spec.station_col, spec.city_col)
+    attributed = staged(attributed, "cells")
+    cells = attributed.select(*CELL_KEY, "demand")
     rows = panel_rows(cells, spec)
-    stations = station_dim(keyed, spec.order_col, spec.station_col, spec.city_col)
-    city_hours = city_hour_dim(keyed, spec.order_col)
+    stations = station_dim_of_cells(attributed, spec.station_col, spec.city_col)
+    city_hours = city_hour_dim_of_cells(attributed)
     if spec.validate:
         assert_unique(stations, STATION_KEY, "station table")
         assert_unique(city_hours, ["city_key", "target_hour_start"], "city-hour table")

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandgrid.functions import features as FE
+from demandgrid.operators import demand as D
+from demandgrid.operators import dims
 from demandgrid.operators import history as HI
 from demandgrid.operators import stats as ST
 from demandgrid.operators.cities import city_encoding, city_scope, encode_city, keep_major_cities
@@ -21,6 +23,12 @@ def training(small_rides):
     return P.training_rides(small_rides, SPEC)
 
 
+@pytest.fixture
+def keyed(small_rides, training):
+    """The rides behind the training panel."""
+    return D.keyed_rides(small_rides.where("city IS NOT NULL")).where(F.col("city_key").isin(list(training.scope.names)))
+
+
 def panel_of(training):
     return P.training_panel(training, SPEC)
 
@@ -63,10 +71,10 @@ def test_weekly_mean_and_post_process(spark):
     assert got == [0.0, 0.6, 0.0, 2.0]
 
 
-def test_panel_is_complete(training):
+def test_panel_is_complete(training, keyed):
     pdf = panel_of(training).toPandas()
     assert not pdf.duplicated(FEATURE_CELL).any()
-    assert pdf.demand.sum() == training.keyed.count()
+    assert pdf.demand.sum() == keyed.count()
     hours = pdf.groupby("city").hour_ts.nunique()
     assert len(pdf) == sum(
         hours[c] * n for c, n in pdf.groupby("city").start_station_id.nunique().items()
@@ -74,8 +82,8 @@ def test_panel_is_complete(training):
     assert pdf.working_day.notna().all() and pdf.holiday.notna().all()
 
 
-def test_weather_comes_from_the_smallest_station(training):
-    keyed = training.keyed.toPandas().sort_values("event_id")
+def test_weather_comes_from_the_smallest_station(training, keyed):
+    keyed = keyed.toPandas().sort_values("event_id")
     cells = keyed.groupby(["city", "station_key", "target_hour_start"], as_index=False).first()
     expected = cells.sort_values("station_key").drop_duplicates(["city", "target_hour_start"])
     expected = expected.set_index(["city", "target_hour_start"]).apparent_temperature
@@ -85,25 +93,60 @@ def test_weather_comes_from_the_smallest_station(training):
         assert (pd.isna(value) and pd.isna(got[key])) or got[key] == value
 
 
-def test_attribute_paths_agree(training):
-    from dataclasses import replace
-
-    from demandgrid.operators.cities import UNKNOWN_SCOPE
-
-    unbounded = replace(training, scope=UNKNOWN_SCOPE)
-    text_order = replace(training, keyed=training.keyed.withColumn("event_id", F.format_string("%08d", "event_id")))
+def test_attributes_of_cells(training, keyed, small_rides):
     columns = ["apparent_temperature", "holiday"]
-    pairs = [
-        (P.city_hour_attributes(training, columns, SPEC), P.city_hour_attributes(unbounded, columns, SPEC)),
-        (P.station_attributes(training, columns, SPEC), P.station_attributes(text_order, columns, SPEC)),
-    ]
-    for a, b in pairs:
-        b = b.select(*a.columns)
-        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and not a.isEmpty()
-    stations = training.keyed.toPandas().sort_values(["target_hour_start", "event_id"])
+    stations = keyed.toPandas().sort_values(["target_hour_start", "event_id"])
     want = stations.groupby(["city", "station_key"]).apparent_temperature.first().to_dict()
-    got = P.station_attributes(training, columns, SPEC).toPandas()
-    assert got.set_index(["city", "start_station_id"]).apparent_temperature.to_dict() == want
+    got = P.station_attributes(training, columns)
+    pdf = got.toPandas()
+    assert pdf.set_index(["city", "start_station_id"]).apparent_temperature.to_dict() == want
+    # An order column of text orders alike.
+    text = small_rides.withColumn("event_id", F.format_string("%08d", "event_id"))
+    other = P.training_rides(text, SPEC)
+    for a, b in [
+        (got, P.station_attributes(other, columns)),
+        (P.city_hour_attributes(training, columns), P.city_hour_attributes(other, columns)),
+    ]:
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and not a.isEmpty()
+
+
+def test_dimensions_of_cells_equal_those_of_rides(spark, small_rides, tmp_path):
+    keyed = D.keyed_rides(small_rides)
+    # Without an order column the order of one file counts.
+    keyed.drop("city", "event_id").coalesce(1).write.parquet(str(tmp_path / "keyed"))
+    for rides in (keyed, spark.read.parquet(str(tmp_path / "keyed"))):
+        cells = dims.cells_with_attributes(rides).cache()
+        pairs = [
+            (D.demand_cells(rides), cells.select("city_key", "station_key", "target_hour_start", "demand")),
+            (dims.station_dim(rides), dims.station_dim_of_cells(cells)),
+            (dims.city_hour_dim(rides), dims.city_hour_dim_of_cells(cells)),
+        ]
+        for a, b in pairs:
+            assert sorted(a.columns) == sorted(b.columns)
+            b = b.select(*a.columns)
+            assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and not a.isEmpty()
+
+
+def test_rides_are_read_once(spark, small_rides, tmp_path, monkeypatch):
+    """Every plan that is run for a panel or for features, but for the first, starts at
+    tables that this job has written."""
+    from demandgrid.plans import panel as PN
+    from demandgrid.sources import staging
+
+    path = str(tmp_path / "rides")
+    small_rides.where("city IS NOT NULL").write.parquet(path)
+    rides = spark.read.parquet(path)
+    read = []
+    for module in (P, PN):
+        def watched(df, name, whole=staging.staged):
+            read.append(df._jdf.queryExecution().optimizedPlan().collectLeaves().toString().count("event_id"))
+            return whole(df, name)
+
+        monkeypatch.setattr(module, "staged", watched)
+    results = [P.make_features_from_rides(rides, SPEC)[0], PN.station_hour_panel(rides)]
+    assert sum(n > 0 for n in read) == 2  # the cells of either job
+    for df in results:
+        assert path not in " ".join(df.inputFiles())
 
 
 def test_statistics_match_the_panel(training):
