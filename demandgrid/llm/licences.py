@@ -354,71 +354,118 @@ def _gate(model: LicenceModel) -> Column:
     return reached(others) & reduce(or_, groups)
 
 
-def _possible(docs: DataFrame, model: LicenceModel, id_col: str, text_col: str) -> DataFrame:
-    """Those of ``paragraphs`` that may reach the threshold, by bounds from the lines alone.
+#: Bits of a field in a packed sum, and fields of one.
+FIELD = 21
+FIELDS = 3
+#: Passages with more grams are not bounded; the fields hold the sums of the others.
+MOST_GRAMS = 2000
+
+
+def _packed(model: LicenceModel) -> tuple[tuple[int, ...], list[int]]:
+    """For every bin the largest leads in ``FIELDS`` groups of families, as rounded numbers in
+    fields of one; and for each group the least sum that may reach the threshold.
 
-    Each line is summed once: its lead, and the part of it from bins that lead. The grams of a
-    line end are those of its two lines, or fewer, and one pair across it, and count once. So
-    its lead is at most that of one line with what leads in the other and in the pair. Of a
-    line that is longer than ``REACH``, a part of which stands in the passage, only what leads
-    is a bound.
+    A sum of packed numbers is the packed sums: fields may borrow, which unpacking undoes.
     """
-    first, lead = _lead(model, _others())
-    every, leading = _literal(tuple(lead)), _literal(tuple(max(x, 0.0) for x in lead))
-    least = _least(model) - first
+    others = _others()
+    groups = [_lead(model, others[g::FIELDS]) for g in range(FIELDS)]
+    top = max([abs(x) for _, bins in groups for x in bins] + [1e-9])
+    scale = (2 ** (FIELD - 1) - 1) / (MOST_GRAMS * (top + 1))
+    packed = tuple(
+        sum(round(bins[b] * scale) << FIELD * g for g, (_, bins) in enumerate(groups)) for b in range(BINS)
+    )
+    return packed, [math.floor((_least(model) - first) * scale) for first, _ in groups]
 
-    def bin_of(gram: Column) -> Column:
-        return F.pmod(F.xxhash64(gram), F.lit(BINS)).cast("int")
 
-    def binned(w: Column) -> Column:
-        n = F.greatest(F.size(w) - 1, F.lit(0))
-        pairs = F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.concat_ws(" ", a, b))
-        bins = F.transform(F.array_distinct(F.concat(w, pairs)), bin_of)
-        return F.struct(w.alias("w"), bins.alias("bins"))
+def _may_reach(total: Column, n: Column, least: list[int]) -> Column:
+    """Whether a packed sum of n numbers may reach the least of any group; each number may be
+    rounded down by a half."""
+    half, mask = 1 << (FIELD - 1), (1 << FIELD) - 1
+    slack = n / F.lit(2) + F.lit(1)
+    reached = n > MOST_GRAMS
+    for bound in least:
+        low = (total.bitwiseAND(F.lit(mask)).bitwiseXOR(F.lit(half))) - F.lit(half)
+        reached = reached | (low + slack >= F.lit(bound))
+        total = F.shiftright(total - low, FIELD)
+    return reached
 
-    def summed(t: Column) -> Column:
-        def of(table: Column) -> Column:
-            return F.aggregate(t["bins"], F.lit(0.0), lambda a, b: a + F.get(table, b))
 
-        return F.struct(t["w"].alias("w"), of(every).alias("lead"), of(leading).alias("most"))
+def _possible(docs: DataFrame, model: LicenceModel, id_col: str, text_col: str) -> DataFrame:
+    """Those of ``paragraphs`` that may reach the threshold.
+
+    Words and pairs are hashed once, where they stand; the grams of a line, and those on both
+    sides of its end, are picked from these hashes, made distinct, and summed in one pass for
+    all groups of families. Only passages that pass are built.
+    """
+    packed, least = _packed(model)
+    table = F.split(F.lit(",".join(map(str, packed))), ",").cast("array<bigint>")
 
-    def bounded(t: Column) -> Column:
-        short = F.size(t["w"]) <= REACH
-        bound = F.when(short, t["lead"]).otherwise(t["most"])
-        return F.struct(t["w"].alias("w"), t["lead"].alias("lead"), t["most"].alias("most"), bound.alias("bound"))
+    def hashed(w: Column) -> Column:
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        pairs = F.zip_with(
+            F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.xxhash64(F.concat_ws(" ", a, b))
+        )
+        return F.struct(w.alias("w"), F.transform(w, lambda x: F.xxhash64(x)).alias("h"), pairs.alias("p"))
 
-    def judged(t: Column, i: Column) -> Column:
+    def last(x: Column, most: int) -> Column:
+        return F.slice(x, F.greatest(F.size(x) - most + 1, F.lit(1)), F.lit(most))
+
+    def gathered(t: Column, i: Column) -> Column:
         after = F.get("__l_lines", i + 1)
-        whole = (F.size(t["w"]) > 0) & (F.size(after["w"]) > 0)
-        across = F.concat_ws(" ", F.element_at(t["w"], -1), F.get(after["w"], F.lit(0)))
-        sides = F.least(t["bound"] + after["most"], t["most"] + after["bound"])
-        # The pair is hashed for those that are close alone.
-        near = whole & (sides + max(max(lead), 0.0) >= least)
-        end = F.when(near, sides + F.get(leading, bin_of(across)) >= least).otherwise(F.lit(False))
+        both = (F.size(t["w"]) > 0) & (F.size(after["w"]) > 0)
+        across = F.xxhash64(F.concat_ws(" ", F.get(t["w"], F.size(t["w"]) - 1), F.get(after["w"], F.lit(0))))
+        end = F.concat(
+            last(t["h"], REACH),
+            last(t["p"], REACH - 1),
+            F.array(across),
+            F.slice(after["h"], 1, REACH),
+            F.slice(after["p"], 1, REACH - 1),
+        )
         return F.struct(
             i.alias("place"),
             t["w"].alias("own"),
             after["w"].alias("next"),
-            ((F.size(t["w"]) > 0) & (t["lead"] >= least)).alias("alone"),
-            end.alias("end"),
+            F.array_distinct(F.concat(t["h"], t["p"])).alias("alone"),
+            F.when(both, F.array_distinct(end)).alias("end"),
+        )
+
+    def summed(t: Column) -> Column:
+        def of(grams: Column) -> Column:
+            zero = F.lit(0).cast("bigint")
+            return F.aggregate(
+                grams, zero, lambda a, x: a + F.get(table, F.pmod(x, F.lit(BINS)).cast("int"))
+            )
+
+        return F.struct(
+            *(t[c].alias(c) for c in ("place", "own", "next")),
+            F.size(t["alone"]).alias("n_alone"),
+            F.when(F.size(t["alone"]) <= MOST_GRAMS, of(t["alone"])).otherwise(0).alias("alone"),
+            F.size(t["end"]).alias("n_end"),
+            of(t["end"]).alias("end"),
+        )
+
+    def judged(t: Column) -> Column:
+        return F.struct(
+            *(t[c].alias(c) for c in ("place", "own", "next")),
+            ((t["n_alone"] > 0) & _may_reach(t["alone"], t["n_alone"], least)).alias("alone"),
+            F.coalesce((t["n_end"] > 0) & _may_reach(t["end"], t["n_end"], least), F.lit(False)).alias("end"),
         )
 
     lines = docs.select(id_col, F.transform(F.split(_plain(F.col(text_col)), "\n"), _words).alias("__l_lines"))
-    for step in (binned, summed, bounded):
-        made = _worked_out(lines.withColumnRenamed("__l_lines", "__l_old"), {"__l_lines": F.transform("__l_old", step)})
-        lines = made.drop("__l_old")
-    near = _worked_out(lines, {"__l_near": F.filter(F.transform("__l_lines", judged), lambda c: c["alone"] | c["end"])})
-    near = near.select(id_col, F.explode("__l_near").alias("p"))
+    steps = (lambda x: F.transform(x, hashed), lambda x: F.transform(x, gathered), lambda x: F.transform(x, summed))
+    for step in steps:
+        lines = _worked_out(lines, {"__l_made": step("__l_lines")}).drop("__l_lines").withColumnRenamed("__l_made", "__l_lines")
+    near = F.filter(F.transform("__l_lines", judged), lambda c: c["alone"] | c["end"])
+    near = _worked_out(lines, {"__l_near": near}).select(id_col, F.explode("__l_near").alias("p"))
     own, after = F.col("p.own"), F.col("p.next")
-    tail = F.slice(own, F.greatest(F.size(own) - REACH + 1, F.lit(1)), F.lit(REACH))
     none = F.lit(None).cast("array<string>")
     alone = F.struct(own.alias("w"), none.alias("own"), none.alias("next"))
-    end = F.struct(F.concat(tail, F.slice(after, 1, REACH)).alias("w"), own.alias("own"), after.alias("next"))
+    end = F.struct(F.concat(last(own, REACH), F.slice(after, 1, REACH)).alias("w"), own.alias("own"), after.alias("next"))
     units = F.concat(
         F.when(F.col("p.alone"), F.array(alone)).otherwise(F.slice(F.array(alone), 1, 0)),
         F.when(F.col("p.end"), F.array(end)).otherwise(F.slice(F.array(end), 1, 0)),
     )
-    return near.select(id_col, F.col("p.place").alias("place"), F.explode(units).alias("u")).select(
+    return near.select(id_col, F.col("p.place").alias("place"), F.explode_outer(units).alias("u")).select(
         id_col,
         "place",
         F.col("u.w").alias("__l_w"),
