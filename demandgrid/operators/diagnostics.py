@@ -69,11 +69,11 @@ def error_summary(scored: DataFrame) -> DataFrame:
     own = scored.withColumn("city", F.coalesce(F.col("city").cast("string"), F.lit(MISSING_CITY)))
     parts = metric_parts(own, ["city"])
     total = add_parts(parts, []).withColumn("city", F.lit(OVERALL))
-    counts = value_counts(own, "abs_error", ["city"])
-    everywhere = counts.groupBy("value").agg(F.sum("n").alias("n"))
-    medians = quantiles_of_counts(counts, [0.5], ["city"]).unionByName(
-        quantiles_of_counts(everywhere, [0.5], []).withColumn("city", F.lit(OVERALL))
-    )
+    # The overall row is one more group of the same counts.
+    each = F.explode(F.array("city", F.lit(OVERALL))).alias("city")
+    counts = value_counts(own, "abs_error", ["city"]).select(each, "value", "n")
+    counts = counts.groupBy("city", "value").agg(F.sum("n").alias("n"))
+    medians = quantiles_of_counts(counts, [0.5], ["city"])
     return (
         _means(parts.unionByName(total), "city")
         .withColumn("bias", -F.col("mean_signed_error"))
@@ -216,7 +216,7 @@ def qq_points(scored: DataFrame, probs: list[float] | None = None) -> DataFrame:
         F.struct(F.lit("pred").alias("series"), F.col("prediction_clipped").alias("value")),
     )
     stacked = scored.select(F.inline(series))
-    found = exact_quantiles(stacked, "value", probs, ["series"], few_groups=True)
+    found = exact_quantiles(stacked, "value", probs, ["series"])
     side = {
         f"{s}_quantile": F.max(F.when(F.col("series") == s, F.col("quantile")))
         for s in ("true", "pred")

@@ -153,6 +153,11 @@ def merged_firsts(cells: DataFrame, by: list[str], columns: list[str]) -> DataFr
     return _merged(cells, by, columns, [], False)
 
 
+def merged_cells(parts: DataFrame, columns: list[str]) -> DataFrame:
+    """Attributed cells of several tables of rides added up, still attributed."""
+    return _merged(parts, CELL_KEY, columns, ["demand"], True)
+
+
 def _merged(df: DataFrame, by: list[str], columns: list[str], sums: list[str], keep_places: bool) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     text = [c for c in columns if not isinstance(types[c], _IN_PLACE)]

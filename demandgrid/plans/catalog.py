@@ -28,6 +28,8 @@ from demandgrid.operators import history as H
 from demandgrid.operators import sampling as S
 from demandgrid.operators import scoring as SC
 from demandgrid.operators import stats as ST
+from demandgrid.operators import digests as DG
+from demandgrid.operators import quantiles as QT
 from demandgrid.operators.cities import city_encoding, encode_city, major_cities
 from demandgrid.operators.ordering import dense_ids
 from demandgrid.plans import features as P
@@ -37,6 +39,7 @@ from demandgrid.plans.oracle import oracle_queries
 from demandgrid.schema import FEATURE_CELL, FEATURE_COLUMNS, FEATURE_STATION
 from demandgrid.session import ensure_checkpoint_dir
 from demandgrid.sources.staging import staged
+from demandgrid.streaming import incremental as INC
 from demandgrid.sources.rideviews import busy_rides, dense_rides, sparse_rides, wide_rides
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +146,33 @@ def panel_labels(spark: SparkSession, d: str) -> DataFrame:
     return PN.station_hour_test_format(sparse_rides(spark, d), PANEL)[1]
 
 
+def incremental_panel(spark: SparkSession, d: str) -> DataFrame:
+    """The labels of a panel that was fed file by file: each file has rides of all days, so
+    most of them come late."""
+    path = f"{ensure_checkpoint_dir(spark)}/incremental/{uuid4().hex}"
+    rides = sparse_rides(spark, d)
+    rides.repartition(5, F.col("event_id") % 5).write.parquet(f"{path}/rides")
+    stream = INC.read_rides(spark, f"{path}/rides", rides.schema, files_at_once=1)
+    INC.ingest(stream, f"{path}/cells", PANEL).awaitTermination()
+    INC.compact(spark, f"{path}/cells", PANEL)
+    return PN.labels_of(INC.panel(spark, f"{path}/cells", PANEL), PANEL)
+
+
+def unreadable_rides(spark: SparkSession, d: str) -> DataFrame:
+    """What one pass over rides tells when a start time in 89 is no time: rides read, rides
+    without an hour, and the demand of the panel that is built from the others."""
+    start = F.when(F.col("event_id") % 89 == 0, F.lit("no time")).otherwise(
+        F.date_format("started_at", "yyyy-MM-dd HH:mm:ss")
+    )
+    rides = wide_rides(spark, d).withColumn("started_at", start)
+    counts: dict[str, int] = {}
+    spec = PN.PanelSpec(grid_mode="observed_only", keep_hours=None, on_bad="drop")
+    panel = PN.station_hour_panel(rides, spec, counts)
+    return panel.agg(F.sum("demand").alias("demand"), F.count("*").alias("n_rows")).select(
+        F.lit(counts["rides"]).cast("bigint").alias("rides"), F.lit(counts["bad"]).cast("bigint").alias("bad"), "demand", "n_rows"
+    )
+
+
 def hidden_test_sample(spark: SparkSession, d: str) -> DataFrame:
     return PN.hidden_test_sample(wide_rides(spark, d))
 
@@ -397,6 +427,38 @@ def prediction_repro(spark: SparkSession, d: str) -> DataFrame:
     return Q.repeatability_report(predictions, second)
 
 
+def changed_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Predictions of one model that a second run changed, lost or added, found by digests."""
+    _, predictions = evaluation(spark, d)
+    first = predictions.where(F.col("model") == "signed").select("id", F.round("prediction", 6).alias("prediction"))
+    i, p = F.col("id"), F.col("prediction")
+    second = first.where(i % 4001 != 7).withColumn("prediction", F.when(i % 3001 == 5, p + 1).otherwise(p))
+    extra = first.where(i % 5003 == 9).select((-i - 1).alias("id"), "prediction")
+    return DG.differing_rows(first, second.unionByName(extra).repartition(7), "id")
+
+
+def sketched_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """Quantiles of the absolute error by city from sketches, checked: the rank of each lies
+    within the error bound of the wanted one."""
+    scored = _diagnosed(spark, d).select("city", F.round("abs_error", 9).alias("abs_error"))
+    rows = staged(scored, "errors")
+    by_city = QT.sketches(rows, "abs_error", ["city"])
+    whole = QT.merged_sketches(by_city).withColumn("city", F.lit("OVERALL"))
+    probs = [0.01, 0.25, 0.5, 0.75, 0.9, 0.99]
+    found = QT.sketched_quantiles(by_city.unionByName(whole), probs, ["city"])
+    each = rows.withColumn("city", F.explode(F.array("city", F.lit("OVERALL"))))
+    q = F.col("quantile")
+    ranks = each.join(F.broadcast(found), "city").groupBy("city", "q").agg(  # cities x probs rows
+        F.count("*").alias("n"),
+        F.count_if(F.col("abs_error") < q).alias("below"),
+        F.count_if(F.col("abs_error") <= q).alias("upto"),
+    )
+    slack = F.lit(QT.SKETCH_ERROR) * F.col("n")
+    wanted = F.col("q") * F.col("n")
+    within = (F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)
+    return ranks.select("city", F.round("q", 6).alias("q"), "n", within.alias("within_bound"))
+
+
 # --- diagnostics -----------------------------------------------------------------------
 
 
@@ -559,6 +621,8 @@ QUERIES: dict[str, Query] = {
     "city_hour_dim": city_hour_dim,
     "panel_targets": panel_targets,
     "panel_labels": panel_labels,
+    "incremental_panel": incremental_panel,
+    "unreadable_rides": unreadable_rides,
     "hidden_test_sample": hidden_test_sample,
     "major_cities": major_city_counts,
     "train_panel": train_panel,
@@ -589,6 +653,8 @@ QUERIES: dict[str, Query] = {
     "contract_report": contract_report,
     "model_failures": model_failures,
     "prediction_repro": prediction_repro,
+    "changed_predictions": changed_predictions,
+    "sketched_quantiles": sketched_quantiles,
     "diag_summary": _diagnostic(X.error_summary),
     "diag_by_hour": _diagnostic(X.by_hour),
     "diag_by_city": _diagnostic(X.by_city),

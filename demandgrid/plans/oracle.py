@@ -514,6 +514,12 @@ SELECT DISTINCT city_key, station_key, target_hour_start FROM keyed"""
     q["panel_labels"] = panel_sql(
         "SELECT id, city, start_station_id, target_hour_start, demand FROM panel", caps, seed
     )
+    q["incremental_panel"] = q["panel_labels"]
+    q["unreadable_rides"] = f"""WITH {_WIDE},
+good AS (SELECT * FROM keyed WHERE event_id % 89 <> 0)
+SELECT (SELECT count(*) FROM keyed) AS rides,
+  (SELECT count(*) FROM keyed WHERE event_id % 89 = 0) AS bad,
+  count(*) AS demand, count(DISTINCT (city_key, station_key, target_hour_start)) AS n_rows FROM good"""
     q["hidden_test_sample"] = f"""WITH {_rides("user_id")},
 cells AS (
   SELECT city, start_station_id, date_trunc('hour', started_at) AS target_hour_start,
@@ -705,6 +711,11 @@ c AS (
     WHERE NOT coalesce(abs(prediction - b) <= 1e-8 + 1e-5 * abs(b), FALSE)) AS bad_rows
   FROM predictions LEFT JOIN second USING (model, id) GROUP BY 1)
 SELECT 'repeatable' AS "check", model, bad_rows = 0 AS ok, bad_rows FROM c"""
+    q["changed_predictions"] = f"""{scoring},
+f AS (SELECT id FROM predictions WHERE model = 'signed')
+SELECT id, 'only_first' AS status FROM f WHERE id % 4001 = 7
+UNION ALL SELECT id, 'changed' FROM f WHERE id % 4001 <> 7 AND id % 3001 = 5
+UNION ALL SELECT -id - 1, 'only_second' FROM f WHERE id % 5003 = 9"""
     q["model_failures"] = f"""{contract}
 SELECT model, string_agg("check", ',' ORDER BY pos) AS error
 FROM c WHERE bad_rows > 0 AND pos <= 5 GROUP BY 1"""
@@ -766,6 +777,9 @@ a AS (
          quantile_cont(prediction_clipped, [{probs}]) AS p FROM d)
 SELECT round(CAST(unnest(qs) AS DOUBLE), 9) AS q, round(unnest(t), 6) AS true_quantile,
   round(unnest(p), 6) AS pred_quantile FROM a, probs"""
+    q["sketched_quantiles"] = f"""{diag},
+c AS (SELECT city, count(*) AS n FROM d GROUP BY 1 UNION ALL SELECT 'OVERALL', count(*) FROM d)
+SELECT city, CAST(unnest([0.01, 0.25, 0.5, 0.75, 0.9, 0.99]) AS DOUBLE) AS q, n, TRUE AS within_bound FROM c"""
     q["zero_segments"] = f"""{diag} SELECT
   {_r("avg(CAST(demand = 0 AS INT))", "zero_share_true")},
   {_r("avg(CAST(prediction_clipped = 0 AS INT))", "zero_share_pred")},

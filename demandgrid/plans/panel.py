@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -169,19 +169,41 @@ def panel_rows(cells: DataFrame, spec: PanelSpec) -> DataFrame:
     return dense_ids(rows, counts, STATION_KEY, "target_hour_start")
 
 
-def station_hour_panel(rides: DataFrame, spec: PanelSpec | None = None) -> DataFrame:
+def station_hour_panel(
+    rides: DataFrame, spec: PanelSpec | None = None, counts: dict[str, int] | None = None
+) -> DataFrame:
     """All columns of targets and labels, plus the internal keys.
 
     The rides are read once: their demand cells, with the first value of every attribute, are
-    written, and grid, windows, ids, stations and city-hours start there. Rows are numbered
+    written, and the panel starts there. ``counts`` receives the rides read and those without
+    a readable start time, counted in the same pass; with ``on_bad="raise"`` the error tells
+    both numbers.
+    """
+    spec = spec or PanelSpec()
+    if spec.on_bad not in ("raise", "drop", "quarantine"):
+        raise ValueError(f"on_bad must be raise, drop or quarantine, got {spec.on_bad!r}")
+    seen = Observation("rides")
+    keyed = spec._keyed(rides, "quarantine")
+    bad = F.col("target_hour_start").isNull()
+    keyed = keyed.observe(seen, F.count("*").alias("rides"), F.count_if(bad).alias("bad"))
+    attributed = cells_with_attributes(keyed.where(~bad), spec.order_col, spec.station_col, spec.city_col)
+    attributed = staged(attributed, "cells")
+    found = seen.get
+    if counts is not None:
+        counts.update(found)
+    if spec.on_bad == "raise" and found["bad"]:
+        raise ValueError(f"{found['bad']} of {found['rides']} rides have no readable start time")
+    return panel_of_cells(attributed, spec)
+
+
+def panel_of_cells(attributed: DataFrame, spec: PanelSpec) -> DataFrame:
+    """The panel from attributed cells, which should be a written table.
+
+    Grid, windows, ids, stations and city-hours start at the cells. Rows are numbered
     while they are still narrow. The station table has the partitioning of the rows, so
     attaching it moves only the table. The city-hour table is broadcast when the counted
     hours of all cities are few enough, and joined through a shuffle otherwise.
     """
-    spec = spec or PanelSpec()
-    keyed = spec.key(rides)
-    attributed = cells_with_attributes(keyed, spec.order_col, spec.station_col, spec.city_col)
-    attributed = staged(attributed, "cells")
     cells = attributed.select(*CELL_KEY, "demand")
     rows = panel_rows(cells, spec)
     stations = station_dim_of_cells(attributed, spec.station_col, spec.city_col)

@@ -40,6 +40,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def discard(table: DataFrame) -> None:
     """Delete a table as ``staged`` returned it, when nothing reads it any more."""
     _delete(table.sparkSession, table._staged_at)

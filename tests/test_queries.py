@@ -15,7 +15,7 @@ PANEL = {
     "station_id_normalize", "station_hour_demand", "station_activity", "grid_full",
     "grid_active_window", "grid_active_window_buffered", "grid_observed", "panel_keep_hours",
     "panel_cap_hours", "station_dim", "city_hour_dim", "panel_targets", "panel_labels",
-    "hidden_test_sample", "ride_pattern", "city_avg", "dataset_profile",
+    "incremental_panel", "unreadable_rides", "hidden_test_sample", "ride_pattern", "city_avg", "dataset_profile",
 }
 QUERIES = {k: q for k, q in entry.queries().items() if k in CATALOG}
 ORACLE = {k: q for k, q in entry.oracle_sql().items() if k in CATALOG}
