@@ -1,8 +1,8 @@
 """Main text of web pages by a tree-structured graphical model.
 
 Every element and text block of a page is a variable: content or not. Each has evidence of
-its own (tag, class names, links, length, punctuation) and is tied to its parent by a
-potential. Sum-product messages go from the leaves to the root and back, which gives each
+its own (tag, the parts of its class names, links, length, punctuation) and is tied to its
+parent by a potential. What each part of a name speaks for is learned. Sum-product messages go from the leaves to the root and back, which gives each
 node's exact marginal. Text blocks whose marginal is over one half make up the main text.
 
 The potentials are relative frequencies, smoothed, in labelled pages, where elements say
@@ -11,7 +11,7 @@ number from a fixed seed, in layouts that sites use.
 
 A null html is an empty page; pages without main text have an empty text. Urls and ids are
 passed on, nulls and repeats too. Very long pages are read whole. An empty table gives no
-rows. Further columns pass through ``extracted``; text and n_chars must not be among them.
+rows. Further columns pass through ``extracted``; those named text or n_chars are replaced.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from demandgrid.llm.htmltree import Node, parse
 
 #: Labelled pages that the model is fitted to.
-PAGES = 600
+PAGES = 900
 SMOOTHING = 0.1
 #: Weight of a feature; features of a node depend on each other and on those below.
 EVIDENCE = 0.5
@@ -55,6 +55,8 @@ AGAINST = re.compile(
 FOR = re.compile(
     r"(?:^|[\s_-])(?:article|content|post|entry|story|main|body|text|prose|copy)", re.I
 )
+PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+MOST_PARTS = 6
 SENTENCE = re.compile(r"[.!?…。][\"'”’)]*(?:\s|$)")
 
 
@@ -78,9 +80,16 @@ class TreeModel:
 def _names(node: Node) -> str:
     if not node.names:
         return "none"
-    return ("against" if AGAINST.search(node.names) else "") + (
-        "for" if FOR.search(node.names) else ""
-    ) or "other"
+    against, own = AGAINST.search(node.names), FOR.search(node.names)
+    if against and own:
+        return "against, for" if against.start() < own.start() else "for, against"
+    return "against" if against else "for" if own else "other"
+
+
+def _parts(node: Node) -> list[str]:
+    """The first few distinct parts of an element's names, a plural as its singular."""
+    parts = (p.lower().removesuffix("s") for p in PART.findall(node.names or ""))
+    return list(dict.fromkeys(parts))[:MOST_PARTS]
 
 
 def _place(node: Node) -> str:
@@ -112,6 +121,7 @@ def features(nodes: list[Node]) -> list[tuple[tuple[str, str], ...]]:
                 ("links", "none" if not share else "few" if share < 0.4 else "many"),
                 ("size", "0" if not size[i] else str(min(3, int(math.log10(size[i]))))),
                 ("stops", str(min(2, stops[i]))),
+                *(("part", part) for part in _parts(n)),
             )
         )
     return out
@@ -205,6 +215,7 @@ def main_text(html: str | None, model: TreeModel) -> str:
 
 def extracted(pages: DataFrame, model: TreeModel, html_col: str = "html") -> DataFrame:
     """The pages with text and n_chars in place of the html."""
+    pages = pages.drop(*(c for c in ("text", "n_chars") if c != html_col))
     place = pages.columns.index(html_col)
     fields = [f for f in pages.schema.fields if f.name != html_col]
     schema = T.StructType([*fields]).add("text", "string").add("n_chars", "long")
@@ -321,7 +332,39 @@ class _Writer:
             return pick(["<section", "<div"]) + f' {self.named("comments", "comment-list", "disqus")}>{comments}</section>'
         return f"<form><label>{self.words(1, 5)}</label><input><button>{self.words(1, 2)}</button></form>"
 
+    def plain(self) -> str:
+        """Pages that name nothing, or whose names point both ways."""
+        r, pick = self.rng.random(), self.rng.choice
+        head = f"<head><title>{self.words(1, 6)}</title></head>"
+        menu = " ".join(f'<a href="/{k}">{self.words(1, 2)}</a>' for k in range(self.rng.randint(2, 6)))
+        end = pick(["Copyright ", "&copy; ", "All rights reserved "]) + self.words(1, 4)
+        text = self.sentences(2, 8)
+        if r < 0.3:  # boxes in boxes, told apart by links and sentences alone
+            body = f"<div>{text}</div>" if self.rng.random() < 0.6 else f"<div><div>{text}</div><div>{self.sentences(1, 5)}</div></div>"
+            inside = f'<div data-main="0">{menu}</div><div data-main="1">{body}</div><div data-main="0">{end}</div>'
+            return f'<html data-main="0">{head}<body><div>{inside}</div></body></html>'
+        if r < 0.45:  # text without paragraphs, deep in an article
+            depth = self.rng.randint(1, 4)
+            body = "<div>" * depth + self.sentences(1, 4) + "</div>" * depth
+            return f'<html data-main="0">{head}<body><nav>{menu}</nav><article data-main="1">{body}</article><footer>{end}</footer></body></html>'
+        if r < 0.75:  # a head of the article, and boxes that list other articles
+            top = self.named("content-header", "article-header", "entry-header", "post-header", "postTitle", "article-meta")
+            other = self.named("related-posts", "related-articles", "more-stories", "recommended-content", "popular-posts", "post-comments", "comment-content", "share-post", "articleNav")
+            box = pick([f"<p>{self.sentences(1, 2)}</p>", self.links(2, 5), f"<h3>{self.words(1, 3)}</h3><p>{self.sentences(1, 3)}</p>"])
+            main = f'<div {top}><h1>{self.words(2, 8)}</h1></div>' + "".join(self.paragraph() for _ in range(self.rng.randint(1, 6)))
+            shell = pick(["<article{}>{}</article>", "<main{}>{}</main>", "<section{}>{}</section>", "<div{}>{}</div>"])
+            after = f'<div data-main="0" {other}>{box}</div>'
+            body = shell.format(' data-main="1"', main)
+            return f'<html data-main="0">{head}<body><header>{menu}</header>{body}{after}<footer>{end}</footer></body></html>'
+        if r < 0.9:  # paragraphs in a nameless box
+            body = "".join(f"<p>{self.sentences(1, 5)}</p>" for _ in range(self.rng.randint(1, 5)))
+            return f'<html data-main="0">{head}<body><div>{menu}</div><div data-main="1">{body}</div><div>{end}</div></body></html>'
+        rows = f'<tr><td data-main="0">{menu}</td><td data-main="1">{text}</td></tr>'
+        return f'<html data-main="0">{head}<body><table>{rows}<tr><td>{end}</td></tr></table></body></html>'
+
     def page(self) -> str:
+        if self.rng.random() < 0.33:
+            return self.plain()
         head = f"<head><title>{self.words(1, 6)}</title><style>p{{margin:0}}</style></head>"
         above = "".join(self.edge(True) for _ in range(self.rng.randint(0, 3)))
         below = "".join(self.edge(False) for _ in range(self.rng.randint(0, 3)))
