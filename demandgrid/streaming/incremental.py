@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from demandgrid.operators.dims import cells_with_attributes, merged_cells, ride_attributes
 from demandgrid.plans.panel import PanelSpec, panel_of_cells
+from demandgrid.session import shuffle_partitions
 from demandgrid.sources import publish
 from demandgrid.sources.staging import path_exists
 
@@ -34,6 +35,15 @@ def read_rides(
     return reader.format(fmt).load(folder)
 
 
+def _spread(batch: DataFrame, spec: PanelSpec) -> DataFrame:
+    """The rides of a batch over all tasks: a file has few row groups, and a task that makes
+    the cells of a whole one holds as much as the file grows to. Without an order column the
+    order of the file counts, so they stay where they are."""
+    if spec.order_col is None or spec.order_col not in batch.columns:
+        return batch
+    return batch.repartition(shuffle_partitions(batch.sparkSession), spec.order_col, spec.start_time_col)
+
+
 def ingest(
     rides: DataFrame, path: str, spec: PanelSpec | None = None, delay: str = "2 days", until_empty: bool = True
 ):  # noqa: ANN201  a streaming query
@@ -44,7 +54,7 @@ def ingest(
     spec = spec or PanelSpec()
 
     def write(batch: DataFrame, number: int) -> None:
-        keyed = spec.key(batch.drop(EVENT_TIME))
+        keyed = spec.key(_spread(batch, spec).drop(EVENT_TIME))
         cells = cells_with_attributes(keyed, spec.order_col, spec.station_col, spec.city_col)
         cells.write.mode("overwrite").parquet(f"{path}/{BATCHES}/batch={number}")
 
