@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import threading
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -40,6 +41,8 @@ LONG = 200
 SLICE = 4_000_000
 #: Few enough for the merges' tables to stay in the processor's cache.
 WORDS_AT_ONCE = 20_000
+#: Seconds after which a worker without work lets its codec go.
+IDLE = 15
 
 MERGE = """
 WITH RECURSIVE words(word, ids, live) AS (
@@ -269,10 +272,13 @@ class Codec:
 
 
 _codecs: dict[str, Codec] = {}
+_release: list[threading.Timer] = []
 
 
 def _codec(shared) -> Codec:  # noqa: ANN001  a broadcast
     """One codec for each Python worker and vocabulary, kept between tasks."""
+    while _release:
+        _release.pop().cancel()
     key, ranks, pattern = shared.value
     if key not in _codecs:
         _codecs.clear()
@@ -280,6 +286,15 @@ def _codec(shared) -> Codec:  # noqa: ANN001  a broadcast
     return _codecs[key]
 
 
+def _rested() -> None:
+    """Lets the codec go after ``IDLE`` seconds without work: workers outlive the stage, and
+    what they hold would be missing to the stages that follow."""
+    timer = threading.Timer(IDLE, _codecs.clear)
+    timer.daemon = True
+    _release.append(timer)
+    timer.start()
+
+
 def _slices(texts: list[str | None]) -> Iterator[slice]:
     start = size = 0
     for k, text in enumerate(texts):
@@ -306,6 +321,7 @@ def _added(docs: DataFrame, new: list[tuple[str, T.DataType]], work, *columns: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = work(*(batch.column(p) for p in places))
+            _rested()
             yield pa.RecordBatch.from_arrays([*batch.columns, *found], names=schema.names)
 
     return docs.mapInArrow(run, schema)
