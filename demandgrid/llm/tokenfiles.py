@@ -20,6 +20,7 @@ no rows. Only the two named columns are read.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 import zlib
@@ -45,6 +46,8 @@ FILE_TOKENS = 16_000_000
 CACHE = 600_000
 LONG = 200
 SLICE_BYTES = 8_000_000
+#: Marks that are cut off the end of a run; the others may belong to special tokens.
+MARKS, MORE_MARKS = b".,;:!?", b"&*#$%|<>()[]{}\""
 
 
 class Levels:
@@ -55,16 +58,17 @@ class Levels:
 
     @classmethod
     def of(cls, ids: np.ndarray) -> Levels:
-        rest, parts = ids.astype(np.uint64), []
+        rest, parts = ids.astype(np.uint32, copy=False), []
         while True:
-            chunk = (rest & np.uint64((1 << CHUNK_BITS) - 1)).astype(np.uint8)
-            rest = rest >> np.uint64(CHUNK_BITS)
-            more = rest > 0
+            chunk = rest.astype(np.uint8)  # the lowest bits
+            more = rest >> CHUNK_BITS > 0
             bits = np.packbits(more, bitorder="little")
-            blocks = np.add.reduceat(more, np.arange(0, len(more), BLOCK)) if len(more) else []
+            # Bits beyond the last one are unset.
+            ones = np.bitwise_count(np.pad(bits, (0, -len(bits) % (BLOCK // 8))))
+            blocks = ones.reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64)
             ranks = np.concatenate([[0], np.cumsum(blocks)]).astype(np.int64)
             parts.append((chunk, bits, ranks))
-            rest = rest[more]
+            rest = rest[more] >> CHUNK_BITS
             if not len(rest):
                 return cls(parts, len(ids))
 
@@ -93,11 +97,14 @@ class Levels:
 
     def all(self) -> np.ndarray:
         """Every id in order; consecutive places need no directory."""
-        out = np.zeros(self.n, np.uint32)
-        open_ = np.arange(self.n)
+        out, open_ = np.empty(0, np.uint32), None
         for level, (chunk, bits, _) in enumerate(self.parts):
-            out[open_] |= chunk.astype(np.uint32) << np.uint32(level * CHUNK_BITS)
-            open_ = open_[np.unpackbits(bits, count=len(chunk), bitorder="little").astype(bool)]
+            on = np.flatnonzero(np.unpackbits(bits, count=len(chunk), bitorder="little"))
+            if open_ is None:
+                out, open_ = chunk.astype(np.uint32), on
+            else:
+                out[open_] |= chunk.astype(np.uint32) << np.uint32(level * CHUNK_BITS)
+                open_ = open_[on]
         return out
 
 
@@ -231,6 +238,9 @@ class WordTokenizer:
     def __init__(self, description: str, special_as_text: bool = True) -> None:
         self.tokenizer = Tokenizer.from_str(description)
         self.tokenizer.encode_special_tokens = special_as_text
+        added = json.loads(description).get("added_tokens") or []
+        plain = special_as_text and all(t.get("special") for t in added)
+        self.marks = MARKS + MORE_MARKS if plain else MARKS
         self.lowers = special_as_text and '"Lowercase"' in description
         self.clear()
 
@@ -258,9 +268,8 @@ class WordTokenizer:
         split: list[bytes] = []
         sizes = []
         for run in self.fresh:
-            body = run.rstrip(b".,;:!?")
             # Marks at the end are a piece of their own only right after a letter.
-            if len(body) < len(run) and body[-1:].isalpha():
+            if run[-1] in self.marks and (body := run.rstrip(self.marks))[-1:].isalpha():
                 split += (body, run[len(body) :])
                 sizes.append(2)
             else:
@@ -274,7 +283,7 @@ class WordTokenizer:
             )
         ]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.known.update(zip(new, range(self.parts.n, self.parts.n + len(new)), strict=True))
+        self.known.update(zip(new, range(self.parts.n, self.parts.n + len(new))))  # noqa: B905
         flat = np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum()))
         self.parts.append(lengths, flat)
         at = np.fromiter(map(self.known.__getitem__, split), np.int64, len(split))
